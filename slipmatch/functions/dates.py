@@ -26,7 +26,9 @@ def to_ymd(day: Column) -> Column:
 
 def from_ymd(text: Column | str) -> Column:
     """NULL, not an error, when the text is no date: such a row never equals a run date."""
-    return F.try_to_date(text, YMD)
+    text = F.col(text) if isinstance(text, str) else text
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike("^[0-9]{8}$"), dashed.try_cast("date"))
 
 
 def sale_day(emission: Column | str) -> Column:

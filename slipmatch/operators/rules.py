@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slipmatch.functions.dates import sale_day
 from slipmatch.functions.money import cents, or_zero
 from slipmatch.functions.text import contains
+from slipmatch.operators.totals import CANCELLED_TOTAL, SOLD, SOME_CANCELLED, has_mark
 
 # Patterns searched in item descriptions.
 CANCELLED_ITEM = "BILHETE CANCELADO"
@@ -29,10 +30,9 @@ HAS_POS = "A ficha contém Vendas POS."
 HAS_REQUISITIONS = "A ficha contém requisições."
 NOTHING_TO_DECLARE = "Nada a declarar."
 
-ITEM_KEY = ["emission_date", "agency_code", "associated_company"]
+ITEM_KEY = ["emission", "agency_code", "associated_company"]
 EVENT_KEY = ["agency_name", *ITEM_KEY]
 EVENT = ["bill_description", "description", "nature", "event_company", "total"]
-SPREAD = 8
 
 
 def with_sale_date(tickets: DataFrame) -> DataFrame:
@@ -73,42 +73,34 @@ def with_items(tickets: DataFrame, items: DataFrame) -> DataFrame:
 
 def with_receipt_rule(tickets: DataFrame, amounts: DataFrame) -> DataFrame:
     """``receipt_ok``: some company's sold total of that agency and day equals the receipt."""
-    known = amounts.where(F.col("kind") == "sold").select(
-        "agency_name", "sale_date", F.col("amount").alias("looked_up"), F.lit(True).alias("known")
-    )
-    return (
-        tickets.withColumn("looked_up", cents(F.col("receipt")))
-        .join(known, ["agency_name", "sale_date", "looked_up"], "left")
-        .select(*tickets.columns, _flag("known").alias("receipt_ok"))
+    return _looked_up(tickets, amounts, F.col("receipt")).select(
+        *tickets.columns, has_mark(SOLD).alias("receipt_ok")
     )
 
 
 def with_cancel_rule(tickets: DataFrame, amounts: DataFrame) -> DataFrame:
     """``nothing_cancelled`` on both sides, or ``cancel_ok`` by an equal cancelled total."""
-    known = amounts.where(F.col("kind") == "cancelled").select(
-        "agency_name", "sale_date", F.col("amount").alias("looked_up"), "exact"
-    )
-    nothing = (F.col("declared_cancelled") == 0) & F.col("exact").isNull()
-    return (
-        tickets.withColumn("looked_up", cents(F.col("declared_cancelled")))
-        .join(known, ["agency_name", "sale_date", "looked_up"], "left")
-        .select(
-            *tickets.columns,
-            nothing.alias("nothing_cancelled"),
-            (nothing | _flag("exact")).alias("cancel_ok"),
-        )
+    nothing = (F.col("declared_cancelled") == 0) & ~has_mark(SOME_CANCELLED)
+    return _looked_up(tickets, amounts, F.col("declared_cancelled")).select(
+        *tickets.columns,
+        nothing.alias("nothing_cancelled"),
+        (nothing | has_mark(CANCELLED_TOTAL)).alias("cancel_ok"),
     )
 
 
+def _looked_up(tickets: DataFrame, amounts: DataFrame, amount: Column) -> DataFrame:
+    return tickets.withColumn("amount", cents(amount)).join(amounts, ["agency_name", "sale_date", "amount"], "left")
+
+
 def event_checks(
-    tickets: DataFrame, events: DataFrame, items: DataFrame, regex: bool = False, spread: int = SPREAD
+    tickets: DataFrame, events: DataFrame, items: DataFrame, regex: bool = False
 ) -> DataFrame:
     """Each sales-side event of each ticket group with the first item that mentions it.
 
-    Descriptions are searched only within the ticket's own group: the join is an equi-join
-    on the group's keys and the search its residual condition. The items of a group are
-    dealt out over ``spread`` salts, and its few events repeated for each, so a group that
-    holds a large share of all items is searched by many tasks.
+    Descriptions are searched only within the ticket's own group: an equi-join on the
+    group's keys with the search as residual condition. It is an inner join, which adaptive
+    execution may split on either side when one group holds a large share of the items;
+    events without a match come back by the union.
     """
     sold = events.withColumnRenamed("associated_company", "event_company")
     due = (
@@ -116,18 +108,14 @@ def event_checks(
         .distinct()
         .join(sold, ["agency_name", "sale_date"])
         .select(*EVENT_KEY, *EVENT)
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     )
-    searched = items.withColumn("salt", F.pmod(F.xxhash64("transaction_description"), F.lit(spread)).cast("int"))
-    same_group = [due[c] == searched[c] for c in [*ITEM_KEY, "salt"]]
-    mentions = contains(F.col("transaction_description"), F.col("description"), regex)
     item = F.struct("transaction_description", _first_value().alias("value"))
-    matched = F.col("transaction_description").isNotNull()
+    mentioned = contains(F.col("transaction_description"), F.col("description"), regex)
+    found = items.join(due, ITEM_KEY).where(mentioned).select(*EVENT_KEY, *EVENT, item.alias("item"))
     return (
-        due.join(searched, [*same_group, mentions], "left")
-        .where(matched | (due["salt"] == 0))
-        .groupBy("agency_name", *[due[c] for c in ITEM_KEY], *EVENT)
-        .agg(F.min(F.when(matched, item)).alias("item"))
+        due.unionByName(found, allowMissingColumns=True)
+        .groupBy(*EVENT_KEY, *EVENT)
+        .agg(F.min("item").alias("item"))
     )
 
 

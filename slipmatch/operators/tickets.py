@@ -12,6 +12,18 @@ from slipmatch.functions.text import is_live, key_text, strip
 # Item kind by code.
 INCOME, EXPENSE, UNKNOWN = "RECEITA", "DESPESA", "ERRO"
 
+SUMMARY = [
+    "associated_company",
+    "agency_name",
+    "agency_code",
+    "ticket_number",
+    "receipt",
+    "expenses",
+    "net_value",
+    "emission",
+    "emission_date",
+]
+
 
 def ticket_summary(
     tickets: DataFrame, agencies: DataFrame, first: dt.date | None = None, last: dt.date | None = None
@@ -22,28 +34,21 @@ def ticket_summary(
     """
     live = tickets.where(is_live("D_E_L_E_T_") & emitted_between(F.col("G6X_DTREME"), first, last)).select(
         key_text("G6X_AGENCI").alias("code"),
-        F.col("G6X_AGENCI").alias("raw_code"),
         F.col("G6X_NUMFCH").alias("ticket_number"),
         F.col("G6X_VLRREI").alias("receipt"),
         F.col("G6X_VLRDES").alias("expenses"),
         F.col("G6X_VLRLIQ").alias("net_value"),
+        F.col("G6X_DTREME").alias("emission"),
         from_ymd("G6X_DTREME").alias("emission_date"),
     )
-    named = agencies.select(key_text("GI6_CODIGO").alias("code"), "GI6_DESCRI", "GI6_FILIAL")
-    return (
-        live.where(F.col("emission_date").isNotNull())
-        .join(named, "code")
-        .select(
-            strip("GI6_FILIAL").alias("associated_company"),
-            strip("GI6_DESCRI").alias("agency_name"),
-            strip("raw_code").alias("agency_code"),
-            "ticket_number",
-            "receipt",
-            "expenses",
-            "net_value",
-            "emission_date",
-        )
+    # Names are stripped here, once per agency and not once per ticket.
+    named = agencies.select(
+        key_text("GI6_CODIGO").alias("code"),
+        strip("GI6_FILIAL").alias("associated_company"),
+        strip("GI6_DESCRI").alias("agency_name"),
+        strip("GI6_CODIGO").alias("agency_code"),
     )
+    return live.where(F.col("emission_date").isNotNull()).join(named, "code").select(*SUMMARY)
 
 
 def item_kind(code: Column | str) -> Column:
@@ -64,7 +69,7 @@ def ticket_details(
     sent = tickets.where(emitted_between(F.col("G6X_DTREME"), first, last)).select(
         key_text("G6X_AGENCI").alias("agency_code"),
         key_text("G6X_NUMFCH").alias("ticket_number"),
-        from_ymd("G6X_DTREME").alias("emission_date"),
+        F.col("G6X_DTREME").alias("emission"),
     )
     named = agencies.select(
         key_text("GI6_CODIGO").alias("agency_code"),
@@ -76,11 +81,10 @@ def ticket_details(
     if company is not None:
         named = named.where(F.col("associated_company") == company)
     return (
-        sent.where(F.col("emission_date").isNotNull())
-        .join(named, "agency_code")
+        sent.join(named, "agency_code")
         .join(_live_items(items), ["agency_code", "ticket_number"])
         .select(
-            "emission_date",
+            "emission",
             "associated_company",
             "agency_name",
             "agency_code",
@@ -110,9 +114,8 @@ def item_values(
         .select(
             key_text("G6X_AGENCI").alias("agency_code"),
             key_text("G6X_NUMFCH").alias("ticket_number"),
-            from_ymd("G6X_DTREME").alias("emission_date"),
+            F.col("G6X_DTREME").alias("emission"),
         )
-        .where(F.col("emission_date").isNotNull())
         .distinct()
     )
     companies = agencies.select(
@@ -122,7 +125,7 @@ def item_values(
     return (
         named_items.join(slips, ["agency_code", "ticket_number"])
         .join(companies.where(F.col("associated_company").isNotNull()), "agency_code")
-        .groupBy("emission_date", "agency_code", "associated_company", "transaction_description")
+        .groupBy("emission", "agency_code", "associated_company", "transaction_description")
         .agg(
             F.min("transaction_value").alias("lowest"),
             F.bool_or(F.col("transaction_value").isNull()).alias("lacks_value"),

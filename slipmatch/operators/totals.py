@@ -20,6 +20,8 @@ MEASURES = {
 }
 CANCELLED = "C"  # fixed value of indstatusboleto
 
+SOLD, CANCELLED_TOTAL, SOME_CANCELLED = 1, 2, 4
+
 
 def sold_totals(
     sales: DataFrame,
@@ -65,35 +67,34 @@ def both_totals(
 
 
 def known_amounts(totals: DataFrame) -> DataFrame:
-    """Amounts the sales side knows, per (agency, day, kind), to be looked up by equality.
+    """Amounts the sales side knows, per agency and day, to be looked up by equality.
 
-    ``exact`` marks a company's total. Any cancelled total also puts in amount 0 without
-    that mark, so that looking up 0 tells "nothing cancelled" (no row) from "something
-    cancelled, and not 0" (``exact`` false). Looking amounts up spares both a list of
-    companies per agency and a join of every ticket with every company.
+    ``marks`` adds up what an amount is: a company's sold total, a company's cancelled
+    total, and, at amount 0 only, a sign that something was cancelled at all. Looking
+    amounts up spares both a list of companies per agency and a join of every ticket with
+    every company; one number for all marks lets both look-ups share one shuffle.
     """
     sold, cancelled = F.col("sold_rows") > 0, F.col("cancelled_rows") > 0
     entries = F.array(
-        _entry("sold", sold, F.col("receipt_total"), exact=True),
-        _entry("cancelled", cancelled, F.col("cancelled_total"), exact=True),
-        _entry("cancelled", cancelled, F.lit(0), exact=False),
+        _entry(sold, F.col("receipt_total"), SOLD),
+        _entry(cancelled, F.col("cancelled_total"), CANCELLED_TOTAL),
+        _entry(cancelled, F.lit(0), SOME_CANCELLED),
     )
     return (
         totals.where(F.col("agency_name").isNotNull())
         .select("agency_name", "sale_date", F.inline(entries))
-        .where("present")
-        .groupBy("agency_name", "sale_date", "kind", "amount")
-        .agg(F.bool_or("exact").alias("exact"))
+        .where(F.col("mark").isNotNull())
+        .groupBy("agency_name", "sale_date", "amount")
+        .agg(F.bit_or("mark").alias("marks"))
     )
 
 
-def _entry(kind: str, present: Column, amount: Column, *, exact: bool) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        F.coalesce(present, F.lit(False)).alias("present"),
-        cents(or_zero(amount)).alias("amount"),
-        F.lit(exact).alias("exact"),
-    )
+def has_mark(mark: int) -> Column:
+    return F.coalesce(F.col("marks").bitwiseAND(mark) != 0, F.lit(False))
+
+
+def _entry(present: Column, amount: Column, mark: int) -> Column:
+    return F.struct(cents(or_zero(amount)).alias("amount"), F.when(present, mark).alias("mark"))
 
 
 def _measure_sums(sales, sale_types, sale_points, first, last, status: Column) -> DataFrame:
@@ -104,13 +105,14 @@ def _measure_sums(sales, sale_types, sale_points, first, last, status: Column) -
 def _rolled_up(sales, sale_types, sale_points, first, last, status: Column, parts: dict[str, Column]) -> DataFrame:
     """Sums of ``parts`` by agency name, sale day and company.
 
-    Sales are summed by their own keys first, so what meets the two small tables, and any
-    shuffle these joins may need, is no longer one row per sale: a busy sale point costs
-    no more than a quiet one.
+    Sales are summed by sale point first, so what meets the sale points, and any shuffle
+    that join may need, is no longer one row per sale: a busy sale point costs no more than
+    a quiet one.
     """
     small = (
         sales.where((F.col("activo") == 1) & status & sold_between(F.col("fechorventa"), first, last))
-        .groupBy("puntoventa_id", "tipoventa_id", F.to_date("fechorventa").alias("sale_date"))
+        .join(sale_types.select("tipoventa_id"), "tipoventa_id")
+        .groupBy("puntoventa_id", F.to_date("fechorventa").alias("sale_date"))
         .agg(*[F.sum(part).alias(name) for name, part in parts.items()])
     )
     points = sale_points.select(
@@ -119,8 +121,7 @@ def _rolled_up(sales, sale_types, sale_points, first, last, status: Column, part
         F.col("empresa_id").alias("associated_company"),
     )
     return (
-        small.join(sale_types.select("tipoventa_id"), "tipoventa_id")
-        .join(points, "puntoventa_id")
+        small.join(points, "puntoventa_id")
         .groupBy("agency_name", "sale_date", "associated_company")
         .agg(*[F.sum(name).alias(name) for name in parts])
     )

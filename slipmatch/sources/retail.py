@@ -1,13 +1,15 @@
 """The eleven source tables derived from a retail data set (customers, orders, lines, parts).
 
 An agency is a customer, a company its nation, a closing day an order date. The sales side
-is a view of the order lines. The accounting side is what agencies would have declared for
-these sales, with deviations, and is written once per session as tables of its own, the way
-a real accounting system would hold it.
+restates the order lines; the accounting side is what agencies would have declared for
+these sales, with deviations. All are written once per session as stored tables, the way
+the two source systems hold them, and every plan starts from their scans.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slipmatch.operators.events import extra_events
@@ -17,17 +19,22 @@ from slipmatch.sources.shared import written
 from slipmatch.sources.tables import Tables
 
 CODE_WIDTH = 10
-_declared: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_loaded: dict[tuple[str, str], Tables] = {}
 
 
 def load(spark: SparkSession, folder: str) -> Tables:
-    sales = sales_side(spark, folder)
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _declared:
-        tickets, items = declared_side(spark, folder, sales)
-        _declared[key] = written(tickets, "tickets"), written(items, "items")
-    tickets, items = _declared[key]
-    return Tables(tickets=tickets, agencies=_agencies(read(spark, folder, "customer")), items=items, **sales)
+    if key not in _loaded:
+        stored = _store(sales_side(spark, folder))
+        stored.update(_store(declared_side(spark, folder, stored)))
+        _loaded[key] = Tables(**stored)
+    return _loaded[key]
+
+
+def _store(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Written side by side: each table is a job of its own."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(tables, pool.map(written, tables.values(), tables)))
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -140,8 +147,8 @@ def _agencies(customers: DataFrame) -> DataFrame:
     )
 
 
-def declared_side(spark: SparkSession, folder: str, sales: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Tickets and ticket items as agencies declare them, mostly in line with the sales."""
+def declared_side(spark: SparkSession, folder: str, sales: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tickets, agencies and ticket items, declared mostly in line with the sales."""
     customers, orders = read(spark, folder, "customer"), read(spark, folder, "orders")
     # Written first: tickets and items both start from these sums.
     totals = written(both_totals(sales["sales"], sales["sale_types"], sales["sale_points"]), "totals")
@@ -156,7 +163,11 @@ def declared_side(spark: SparkSession, folder: str, sales: dict[str, DataFrame])
     ordered = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_orderpriority", "c_custkey", "c_name", F.to_date("o_orderdate").alias("sale_date")
     )
-    return _tickets(ordered, totals), _items(ordered, customers, totals, events)
+    return {
+        "tickets": _tickets(ordered, totals),
+        "agencies": _agencies(customers),
+        "items": _items(ordered, customers, totals, events),
+    }
 
 
 def _tickets(ordered: DataFrame, totals: DataFrame) -> DataFrame:
