@@ -119,12 +119,17 @@ def event_checks(
     )
 
 
-def event_messages(checks: DataFrame) -> DataFrame:
-    """Per ticket group: event messages ordered by event description, and reject marks."""
+def event_message() -> Column:
+    """What is wrong with an event, NULL if nothing is; values are compared unrounded."""
     item, event = F.col("item"), F.col("description")
-    message = F.when(item.isNull(), _around(EVENT_MISSING, event)).when(
+    return F.when(item.isNull(), _around(EVENT_MISSING, event)).when(
         item["value"] != F.col("total"), _around(EVENT_DIFFERS, event)
     )
+
+
+def event_messages(checks: DataFrame) -> DataFrame:
+    """Per ticket group: event messages ordered by event description, and reject marks."""
+    item, event, message = F.col("item"), F.col("description"), event_message()
     entry = F.struct("bill_description", "nature", "event_company", "total", message.alias("message"))
     return checks.groupBy(*EVENT_KEY).agg(
         F.array_sort(F.collect_list(F.when(message.isNotNull(), entry))).alias("entries"),

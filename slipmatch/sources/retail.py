@@ -135,13 +135,13 @@ def _shift_accounts(orders: DataFrame) -> DataFrame:
     )
 
 
-def _code() -> Column:
+def agency_code() -> Column:
     return F.lpad(F.col("c_custkey").cast("string"), CODE_WIDTH, "0")
 
 
 def _agencies(customers: DataFrame) -> DataFrame:
     return customers.select(
-        _code().alias("GI6_CODIGO"),
+        agency_code().alias("GI6_CODIGO"),
         F.concat("c_name", F.lit("   ")).alias("GI6_DESCRI"),
         F.col("c_nationkey").cast("string").alias("GI6_FILIAL"),
     )
@@ -177,7 +177,7 @@ def _tickets(ordered: DataFrame, totals: DataFrame) -> DataFrame:
     receipt = F.when(turn == 0, F.lit(0)).when(turn == 1, total + 10).otherwise(total).cast(MONEY)
     expenses = F.coalesce("cancelled_total", F.lit(0)).cast(MONEY)
     return ordered.join(sold, ["c_name", "sale_date"], "left").select(
-        _code().alias("G6X_AGENCI"),
+        agency_code().alias("G6X_AGENCI"),
         F.date_format("sale_date", "yyyyMMdd").alias("G6X_NUMFCH"),
         F.date_format(F.date_add("sale_date", 1), "yyyyMMdd").alias("G6X_DTREME"),
         receipt.alias("G6X_VLRREI"),
@@ -225,7 +225,7 @@ def _items(ordered: DataFrame, customers: DataFrame, totals: DataFrame, events:
         cancels.unionByName(extras)
         .unionByName(marks)
         .select(
-            _code().alias("GZG_AGENCI"),
+            agency_code().alias("GZG_AGENCI"),
             F.date_format("sale_date", "yyyyMMdd").alias("GZG_NUMFCH"),
             F.col("item.kind").alias("GZG_TIPO"),
             F.col("item.text").alias("GZG_DESCRI"),
