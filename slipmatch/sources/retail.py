@@ -15,26 +15,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from slipmatch.operators.events import extra_events
 from slipmatch.operators.totals import both_totals
 from slipmatch.schemas import MONEY
-from slipmatch.sources.shared import written
+from slipmatch.sources.shared import Written, write_aside, written
 from slipmatch.sources.tables import Tables
 
 CODE_WIDTH = 10
-_loaded: dict[tuple[str, str], Tables] = {}
+_stored: dict[tuple[str, str], dict[str, Written]] = {}
+_loaded: dict[tuple[str, str], tuple[SparkSession, Tables]] = {}
 
 
 def load(spark: SparkSession, folder: str) -> Tables:
+    """The tables, written at the first call in an application and read by later ones."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _loaded:
+    if key not in _stored:
         stored = _store(sales_side(spark, folder))
-        stored.update(_store(declared_side(spark, folder, stored)))
-        _loaded[key] = Tables(**stored)
-    return _loaded[key]
+        sales = {field: table.read(spark) for field, table in stored.items()}
+        _stored[key] = {**stored, **_store(declared_side(spark, folder, sales))}
+    session, tables = _loaded.get(key, (None, None))
+    if session is not spark:
+        tables = Tables(**{field: table.read(spark) for field, table in _stored[key].items()})
+        _loaded[key] = (spark, tables)
+    return tables
 
 
-def _store(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _store(tables: dict[str, DataFrame]) -> dict[str, Written]:
     """Written side by side: each table is a job of its own."""
     with ThreadPoolExecutor(max_workers=4) as pool:
-        return dict(zip(tables, pool.map(written, tables.values(), tables)))
+        return dict(zip(tables, pool.map(write_aside, tables.values(), tables)))
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -123,16 +129,14 @@ def _event_types(parts: DataFrame) -> DataFrame:
 
 
 def _shift_accounts(orders: DataFrame) -> DataFrame:
-    return (
-        orders.select(
-            (F.col("o_orderkey") % 2).cast("int").alias("empresa_id"),
-            F.col("o_custkey").alias("puntoventa_id"),
-            _shift().alias("turno_id"),
-            F.explode(F.array(*[F.lit(u).cast("bigint") for u in (0, 1, 2)])).alias("usuario_id"),
-            F.col("o_orderdate").alias("feccorte"),
-        )
-        .distinct()
-    )
+    users = F.array(*[F.lit(user).cast("bigint") for user in (0, 1, 2)])
+    return orders.select(
+        (F.col("o_orderkey") % 2).cast("int").alias("empresa_id"),
+        F.col("o_custkey").alias("puntoventa_id"),
+        _shift().alias("turno_id"),
+        F.explode(users).alias("usuario_id"),
+        F.col("o_orderdate").alias("feccorte"),
+    ).distinct()
 
 
 def agency_code() -> Column:
@@ -236,7 +240,5 @@ def _items(ordered: DataFrame, customers: DataFrame, totals: DataFrame, events:
 
 
 def _item(text: Column | str, kind: Column | int, value: Column) -> Column:
-    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return F.struct(
-        as_column(text).alias("text"), as_column(kind).cast("int").alias("kind"), value.cast(MONEY).alias("value")
-    )
+    text, kind = (x if isinstance(x, Column) else F.lit(x) for x in (text, kind))
+    return F.struct(text.alias("text"), kind.cast("int").alias("kind"), value.cast(MONEY).alias("value"))

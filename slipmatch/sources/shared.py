@@ -3,15 +3,29 @@
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from slipmatch.session import shared_dir
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as parquet under the shared folder and read back."""
+class Written(NamedTuple):
+    path: str
+    schema: StructType
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
+
+
+def write_aside(df: DataFrame, name: str) -> Written:
+    """``df`` as parquet below the shared folder, in a place of its own."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/slipmatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Written(path, df.schema)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return write_aside(df, name).read(df.sparkSession)
