@@ -397,10 +397,11 @@ FROM verdict
     "upsert_evolve": LEDGER + "SELECT * FROM evolved",
     "upsert_counts": LEDGER
     + """
-SELECT 'all columns' AS matched_on, count_if(change = 'updated') AS updated,
-       count_if(change = 'inserted') AS inserted, count_if(change <> 'kept') AS affected FROM plain
-UNION ALL
-SELECT 'agency and number', count_if(change = 'updated'), count_if(change = 'inserted'),
-       count_if(change <> 'kept') FROM keyed
+SELECT matched_on, CAST(count_if(change = 'updated') AS BIGINT) AS updated,
+       CAST(count_if(change = 'inserted') AS BIGINT) AS inserted,
+       CAST(count_if(change <> 'kept') AS BIGINT) AS affected
+FROM (SELECT 'all columns' AS matched_on, change FROM plain
+      UNION ALL SELECT 'agency and number', change FROM keyed)
+GROUP BY matched_on
 """,
 }

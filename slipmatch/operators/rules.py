@@ -128,7 +128,10 @@ def event_message() -> Column:
 
 
 def event_messages(checks: DataFrame) -> DataFrame:
-    """Per ticket group: event messages ordered by event description, and reject marks."""
+    """Per ticket group: event messages ordered by event description, and reject marks.
+
+    The list a group collects is its message: one entry per event that went wrong.
+    """
     item, event, message = F.col("item"), F.col("description"), event_message()
     entry = F.struct("bill_description", "nature", "event_company", "total", message.alias("message"))
     return checks.groupBy(*EVENT_KEY).agg(

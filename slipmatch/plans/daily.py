@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from slipmatch.functions.dates import as_date
-from slipmatch.functions.text import without_semicolons
 from slipmatch.operators import events, export, tickets, totals
 from slipmatch.plans.reconcile import incongruent_tickets, reconcile_tables, rejected_tickets, valid_tickets
 from slipmatch.plans.store import ResultStore
@@ -72,7 +71,7 @@ class ClosingDay:
         for table, name in ((VALID_TABLE, VALID_REPORT), (INCONGRUENT_TABLE, INCONGRUENT_REPORT)):
             rows = self.store.read_day(table, day - dt.timedelta(days=1))
             if rows is not None:
-                export.write_csv(without_semicolons(rows), f"{folder}/{name}", files)
+                export.write_report(rows, f"{folder}/{name}", files)
 
     def _sales(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.tables.sales, self.tables.sale_types, self.tables.sale_points
