@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from slipmatch.schemas import ACCOUNTING, SALES
+from slipmatch.sources import jdbc
+from slipmatch.sources.shared import written
 
 # Field of the bundle by source table.
 FIELDS = {
@@ -23,6 +25,8 @@ FIELDS = {
     "conta_corrente_ptovta": "shift_accounts",
 }
 
+MASTER_DATA = {"GI6010", "tipo_venta", "punto_venta", "evento_extra", "tipo_evento_extra"}
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -54,13 +58,19 @@ class Tables:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, accounting: dict, sales: dict, split: dict | None = None) -> Tables:
-        """Tables read over JDBC; ``split`` may give ``JdbcSplit`` arguments per table."""
-        from slipmatch.sources.jdbc import read_table
+        """Tables read over JDBC; ``split`` may give a ``JdbcSplit`` per table.
 
+        Master data is copied to the shared folder first. Spark knows no sizes of JDBC
+        tables; of files it does, and can tell which it may broadcast.
+        """
         split = split or {}
+        read = {
+            table: jdbc.read_table(spark, accounting if table in ACCOUNTING else sales, table, split.get(table))
+            for table in FIELDS
+        }
         return cls(
             **{
-                field: read_table(spark, accounting if table in ACCOUNTING else sales, table, split.get(table))
+                field: written(read[table], table) if table in MASTER_DATA else read[table]
                 for table, field in FIELDS.items()
             }
         )

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from bench_of_slips import DAY, plain
 
 from slipmatch.functions.text import WHITESPACE, strip, without_semicolons
 from slipmatch.operators.export import closing_day
 from slipmatch.sources.jdbc import JdbcSplit, oracle, scan_options, sql_server
+from slipmatch.plans.reconcile import reconcile_tables
 from slipmatch.sources.query import first_row, run_query
+from slipmatch.sources.tables import FIELDS, MASTER_DATA, Tables
 
 
 def test_jdbc_options():
@@ -26,6 +29,24 @@ def test_jdbc_split():
     assert "customSchema" not in scan_options({}, "another_table", None)
 
 
+def test_master_data_is_copied(spark, monkeypatch):
+    """Read over JDBC in name only: the scan is replaced, what is done with it is not."""
+    given = plain().ticket(100).tables(spark)
+    asked = []
+
+    def read_table(_, connection, table, split):
+        asked.append((connection, table, split))
+        return getattr(given, FIELDS[table])
+
+    monkeypatch.setattr("slipmatch.sources.jdbc.read_table", read_table)
+    split = JdbcSplit("puntoventa_id", 1, 100, 4)
+    tables = Tables.from_jdbc(spark, {"url": "erp"}, {"url": "sales"}, {"caja": split})
+    assert ({"url": "sales"}, "caja", split) in asked and ({"url": "erp"}, "G6X010", None) in asked
+    copied = {t for t, field in FIELDS.items() if getattr(tables, field).inputFiles()}
+    assert copied == MASTER_DATA
+    assert [r["verdict"] for r in reconcile_tables(tables, DAY, DAY).collect()] == ["valid"]
+
+
 def test_bound_arguments_are_values(spark):
     rows = spark.createDataFrame([("a' OR '1'='1",), ("b",)], "name string")
     found = run_query(spark, "SELECT * FROM {rows} WHERE name = :name", {"name": "a' OR '1'='1"}, rows=rows)
