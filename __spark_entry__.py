@@ -23,7 +23,7 @@ from slipmatch.operators import rules  # noqa: E402
 from slipmatch.operators.events import extra_events  # noqa: E402
 from slipmatch.operators.export import report  # noqa: E402
 from slipmatch.operators.tickets import item_values, ticket_details, ticket_summary  # noqa: E402
-from slipmatch.operators.totals import both_totals, cancelled_totals, known_amounts, sold_totals  # noqa: E402
+from slipmatch.operators.totals import both_totals, cancelled_totals, sold_totals  # noqa: E402
 from slipmatch.operators.upsert import CHANGE, INSERTED, counts, stamped, upsert  # noqa: E402
 from slipmatch.plans import reconcile as plan  # noqa: E402
 from slipmatch.schemas import CODE, NAME, NUMBER, OBSERVATION, STAMP  # noqa: E402
@@ -169,15 +169,14 @@ TICKET_KEY = ["agency_name", "agency_code", "associated_company", "ticket_number
 
 def receipt_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = retail.load(spark, sf_dir)
-    amounts = known_amounts(both_totals(*_sales(t)))
-    checked = rules.with_receipt_rule(plan.open_tickets(_summary(t)), amounts)
+    checked = rules.with_receipt_rule(plan.open_tickets(_summary(t)), both_totals(*_sales(t)))
     return shown(checked.select(*TICKET_KEY, "receipt", "receipt_ok"))
 
 
 def cancel_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = retail.load(spark, sf_dir)
     declared = rules.with_items(plan.open_tickets(_summary(t)), _items(t))
-    checked = rules.with_cancel_rule(declared, known_amounts(both_totals(*_sales(t))))
+    checked = rules.with_cancel_rule(declared, both_totals(*_sales(t)))
     return shown(checked.select(*TICKET_KEY, "declared_cancelled", "nothing_cancelled", "cancel_ok"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slipmatch.functions.dates import sale_day
 from slipmatch.functions.money import cents, or_zero
 from slipmatch.functions.text import contains
-from slipmatch.operators.totals import CANCELLED_TOTAL, SOLD, SOME_CANCELLED, has_mark
+from slipmatch.operators.totals import CANCELLED_TOTAL, SOLD, SOME_CANCELLED, has_mark, known_amounts
 
 # Patterns searched in item descriptions.
 CANCELLED_ITEM = "BILHETE CANCELADO"
@@ -71,17 +71,19 @@ def with_items(tickets: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def with_receipt_rule(tickets: DataFrame, amounts: DataFrame) -> DataFrame:
+def with_receipt_rule(tickets: DataFrame, totals: DataFrame) -> DataFrame:
     """``receipt_ok``: some company's sold total of that agency and day equals the receipt."""
-    return _looked_up(tickets, amounts, F.col("receipt")).select(
+    known = known_amounts(totals, SOLD)
+    return _looked_up(tickets, known, F.col("receipt")).select(
         *tickets.columns, has_mark(SOLD).alias("receipt_ok")
     )
 
 
-def with_cancel_rule(tickets: DataFrame, amounts: DataFrame) -> DataFrame:
+def with_cancel_rule(tickets: DataFrame, totals: DataFrame) -> DataFrame:
     """``nothing_cancelled`` on both sides, or ``cancel_ok`` by an equal cancelled total."""
     nothing = (F.col("declared_cancelled") == 0) & ~has_mark(SOME_CANCELLED)
-    return _looked_up(tickets, amounts, F.col("declared_cancelled")).select(
+    known = known_amounts(totals, CANCELLED_TOTAL | SOME_CANCELLED)
+    return _looked_up(tickets, known, F.col("declared_cancelled")).select(
         *tickets.columns,
         nothing.alias("nothing_cancelled"),
         (nothing | has_mark(CANCELLED_TOTAL)).alias("cancel_ok"),

@@ -66,13 +66,14 @@ def both_totals(
     return _rolled_up(sales, sale_types, sale_points, first, last, F.col("indstatusboleto").isNotNull(), parts)
 
 
-def known_amounts(totals: DataFrame) -> DataFrame:
+def known_amounts(totals: DataFrame, wanted: int) -> DataFrame:
     """Amounts the sales side knows, per agency and day, to be looked up by equality.
 
-    ``marks`` adds up what an amount is: a company's sold total, a company's cancelled
-    total, and, at amount 0 only, a sign that something was cancelled at all. Looking
-    amounts up spares both a list of companies per agency and a join of every ticket with
-    every company; one number for all marks lets both look-ups share one shuffle.
+    ``marks`` adds up what an amount is, as far as ``wanted``: a company's sold total, a
+    company's cancelled total, and, at amount 0 only, a sign that something was cancelled
+    at all. Looking amounts up spares both a list of companies per agency and a join of
+    every ticket with every company. The marks are chosen after all have been listed, so
+    that two choices still need the same sums, out of one scan.
     """
     sold, cancelled = F.col("sold_rows") > 0, F.col("cancelled_rows") > 0
     entries = F.array(
@@ -83,7 +84,7 @@ def known_amounts(totals: DataFrame) -> DataFrame:
     return (
         totals.where(F.col("agency_name").isNotNull())
         .select("agency_name", "sale_date", F.inline(entries))
-        .where(F.col("mark").isNotNull())
+        .where(F.col("mark").bitwiseAND(wanted) != 0)
         .groupBy("agency_name", "sale_date", "amount")
         .agg(F.bit_or("mark").alias("marks"))
     )
