@@ -14,6 +14,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
         path = Path(folder) / f"{table}.parquet"
+        path = path / "*.parquet" if path.is_dir() else path
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
     return con
 

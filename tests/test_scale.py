@@ -9,10 +9,12 @@ import pytest
 from bench_of_slips import DAY, Slips, plain, together
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from compare import TABLES, connect, duck_rows, spark_rows
 from slipmatch.operators import rules
-from slipmatch.plans.reconcile import open_tickets, reconcile_tables
 from slipmatch.operators.events import extra_events
 from slipmatch.operators.tickets import item_values, ticket_summary
+from slipmatch.plans.reconcile import open_tickets, reconcile_tables
 
 EVENTS = ["MULTA", "AVISO", "EXCESSO", "POS", "MULT"]
 TEXTS = [*EVENTS, "TX MULTA X", "BILHETE CANCELADO", "BILHETE DEVOLVIDO", "VALE REQUISIÇÕES", "OUTRO"]
@@ -143,3 +145,28 @@ def test_hot_group_is_split(spark):
     assert "SortMergeJoin(skew=true)" in plan
     assert len(rows) == 40 and rows["001", "AVISO"] is None
     assert rows["001", "MULTA"]["value"] == 5 and rows["002", "MULTA"]["transaction_description"] == "TX MULTA"
+
+
+@pytest.fixture(scope="module")
+def hot_folder(spark, tmp_path_factory):
+    """Test tables in which one agency-day holds a third of all orders."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    hot = F.col("o_orderkey") % 3 == 0
+    for table in TABLES:
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        if table == "orders":
+            rows = rows.withColumn("o_custkey", F.when(hot, 1).otherwise(F.col("o_custkey")).cast("bigint"))
+            moved = F.to_timestamp_ntz(F.lit("1998-03-15 00:00:00"))
+            rows = rows.withColumn("o_orderdate", F.when(hot, moved).otherwise(F.col("o_orderdate")))
+        rows.coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name", ["reconcile_verdict", "event_match", "extra_events", "sales_totals", "first_item", "upsert_keyed"]
+)
+def test_hot_agency_day(spark, hot_folder, name):
+    con = connect(hot_folder)
+    found = spark_rows(contract.queries()[name](spark, hot_folder))
+    assert found == duck_rows(con, contract.oracle_sql()[name])
+    assert found[1]
