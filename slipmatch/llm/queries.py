@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slipmatch.llm import html, language, mixing, slots, tokens
+from slipmatch.llm import decontaminate, html, language, mixing, near_dedup, neighbours, slots, tokens
 from slipmatch.llm.tables import load
 from slipmatch.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from slipmatch.session import shared_dir
@@ -54,6 +54,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("document.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(load(spark, sf_dir, "documents"), 85)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     found = language.predicted(docs.select("doc_id", "text"), language.learned(docs))
@@ -71,6 +79,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(load(spark, sf_dir, "pages"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = tokens.TokenCache(spark, own_folder(spark, "token-counts"))
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,7 +94,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": op1_url_filter,
         "op2_sharding": op2_sharding,
         "op3_mixing": op3_mixing,
+        "op4_near_dedup": op4_near_dedup,
+        "op5_decontamination": op5_decontamination,
         "op7_language_id": op7_language_id,
         "op8_html_extraction": op8_html_extraction,
+        "op9_neighbours": op9_neighbours,
         "op10_token_counts": op10_token_counts,
     }
