@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slipmatch.llm import decontaminate, html, language, mixing, near_dedup, neighbours, slots, tokens
+from slipmatch.llm import decontaminate, html, language, mixing, near_dedup, neighbours, repeats, slots, tokens
 from slipmatch.llm.tables import load
 from slipmatch.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from slipmatch.session import shared_dir
@@ -62,6 +62,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(load(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     found = language.predicted(docs.select("doc_id", "text"), language.learned(docs))
@@ -96,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_near_dedup": op4_near_dedup,
         "op5_decontamination": op5_decontamination,
+        "op6_repeats": op6_repeats,
         "op7_language_id": op7_language_id,
         "op8_html_extraction": op8_html_extraction,
         "op9_neighbours": op9_neighbours,

@@ -10,8 +10,8 @@ from typing import NamedTuple
 import numpy as np
 
 U = np.uint64
-_POWER, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-_STEP = 0xD1342543DE82EF95
+POWER, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+STEP = 0xD1342543DE82EF95
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -48,12 +48,12 @@ def powers(base: int, n: int) -> np.ndarray:
 def prefix_sums(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of value * power over the first i bytes; hashes of stretches are differences."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(values[data] * powers(_POWER, len(data)), out=out[1:])
+    np.cumsum(values[data] * powers(POWER, len(data)), out=out[1:])
     return out
 
 
 def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(sums))[starts] + (ends - starts).astype(np.uint64))
+    return mix((sums[ends] - sums[starts]) * powers(INVERSE, len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
 class Words(NamedTuple):
@@ -88,7 +88,7 @@ def shingles(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     n = len(w.hashes)
     rolled = np.zeros(n, dtype=np.uint64)
     for back in range(size):
-        rolled[: n - back] += w.hashes[back:] * powers(_STEP, size)[back]
+        rolled[: n - back] += w.hashes[back:] * powers(STEP, size)[back]
     rolled = mix(rolled + U(size))
     keep = np.ones(n, dtype=bool)
     for back in range(1, size):
@@ -99,6 +99,6 @@ def shingles(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
         own = w.hashes[w.offsets[text] : w.offsets[text + 1]]
         at = w.offsets[text]
         keep[at] = True
-        rolled[at] = mix(np.sum(own * powers(_STEP, size)[: len(own)], dtype=np.uint64)[None] + U(len(own)))[0]
+        rolled[at] = mix(np.sum(own * powers(STEP, size)[: len(own)], dtype=np.uint64)[None] + U(len(own)))[0]
     sizes = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
     return rolled[keep], np.concatenate([[0], np.cumsum(sizes)])
