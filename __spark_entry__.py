@@ -31,6 +31,14 @@ from slipmatch.sources import retail  # noqa: E402
 from slipmatch.sources.query import first_row, run_query  # noqa: E402
 from slipmatch.sources.tables import Tables  # noqa: E402
 
+try:  # the one place that lets the text operators be absent
+    import corpus_pipeline
+    from slipmatch.llm import queries as text_queries, sql as text_sql
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "slipmatch.llm"):
+        raise
+    corpus_pipeline = text_queries = text_sql = None
+
 SMOKE = "/root/testdata/sf0.001"
 EXPORT_RUN = dt.date(1998, 3, 16)
 FIRST_RUN, SECOND_RUN, LATER = (dt.datetime(2002, month, 1, 8) for month in (1, 2, 3))
@@ -42,6 +50,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = own_queries()
+    if text_queries is not None:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the reconciliation itself."""
     return {
         "scan_tickets": scan_tickets,
         "scan_sales": scan_sales,
@@ -73,7 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(TEXTS)
+    return TEXTS | (text_sql.oracle_sql() if text_sql is not None else {})
 
 
 def shown(df: DataFrame) -> DataFrame:

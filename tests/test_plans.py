@@ -42,7 +42,7 @@ def no_broadcast(spark):
         spark.conf.unset(key)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.own_queries()))
 def test_no_pairs_no_python(spark, no_broadcast, name):
     text = plan_of(contract.queries()[name](spark, FOLDER))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python", "Pandas"):

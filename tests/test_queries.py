@@ -20,10 +20,10 @@ def duck():
 
 
 def test_every_query_has_a_text():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.own_queries()) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.own_queries()))
 def test_query(spark, duck, name):
     columns, rows = spark_rows(contract.queries()[name](spark, FOLDER))
     want_columns, want_rows = duck_rows(duck, contract.oracle_sql()[name])
