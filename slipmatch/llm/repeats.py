@@ -3,15 +3,19 @@
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: in a document
 of smaller id, or earlier in the same one. Suffixes are put into buckets by the q-gram they
 start with, and buckets are refined by what stands at other offsets, as in building a suffix
-array; but only suffixes that can matter are looked at, in three rounds:
+array; but only suffixes that can matter are looked at, in four rounds:
 
 1. Of each string of LENGTH bytes the suffix at its smallest q-gram hash is its anchor, a
    choice that depends on the string alone, so equal strings have equal anchors. One suffix
-   in 35 or so is an anchor. Buckets with one suffix are done.
-2. Within a bucket, suffixes are told apart by an identifier of all bytes that strings with
-   this anchor reach, before and after it. A class of suffixes that agree in it agrees in all
-   those strings: every document but the smallest loses them.
-3. Only where a bucket has several classes are the smallest documents' strings told apart one
+   in 35 or so is an anchor. Its bucket is refined at once by the bytes before it, or after
+   it, that half of its strings have in common.
+2. Documents none of whose buckets occurs twice are done. Bucket identifiers travel packed,
+   once for each batch of documents; which documents go on is kept in a bitmap of fixed size,
+   in which some that needn't may slip through.
+3. Within a bucket, suffixes are told apart by an identifier of all bytes that their strings
+   reach. A class of suffixes that agree in it agrees in all those strings: every document
+   but the smallest loses them.
+4. Only where a bucket has several classes are the smallest documents' strings told apart one
    by one, by identifiers of LENGTH bytes.
 
 Identifiers are 64-bit fingerprints of the bytes; that two strings share one by chance takes
@@ -21,18 +25,23 @@ about four billion different strings.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slipmatch.llm.tables import runs, to_utf8
 from slipmatch.llm.words import BYTES, INVERSE, U, mix, powers, prefix_sums, stretch_hashes
+from slipmatch.session import shared_dir
 from slipmatch.sources.shared import written
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
+HALF = SPAN // 2
 POSITION_BITS = 28
+BITMAP_BITS = 27
 
 
 class Suffixes:
@@ -66,7 +75,19 @@ class Suffixes:
         self.first = np.flatnonzero(whole & change[:-1])
         self.last = np.flatnonzero(whole & change[1:])
         at = anchor[self.first]
-        self.bucket = grams[at]
+        # Strings that start HALF or more before the anchor, and the others.
+        early = self.first <= at - HALF
+        late = self.last > at - HALF
+        ends = np.minimum(self.last, at - HALF)[early]
+        begins = np.maximum(self.first, at - HALF + 1)[late]
+        left = stretch_hashes(self.sums, at[early] - HALF, at[early] + GRAM)
+        right = mix(stretch_hashes(self.sums, at[late], at[late] + LENGTH - HALF + 1) + U(1))
+        first = np.concatenate([self.first[early], begins])
+        order = np.argsort(first, kind="stable")
+        self.last = np.concatenate([ends, self.last[late]])[order]
+        self.first = first[order]
+        at = np.concatenate([at[early], at[late]])[order]
+        self.bucket = np.concatenate([left, right])[order]
         reach = stretch_hashes(self.sums, self.first, self.last + LENGTH)
         self.key = mix(reach + (at - self.first).astype(np.uint64) * U(0x9E3779B97F4A7C15))
         self.text = np.searchsorted(offsets, self.first, "right") - 1
@@ -79,6 +100,111 @@ class Suffixes:
         return stretch_hashes(self.sums, starts, starts + LENGTH), starts
 
 
+def _packed(parts: int):
+    """Buckets of each batch of documents, once each, dealt into ``parts`` packed rows.
+
+    A bucket has 40 bits here, a document 32. Documents that share a bucket within the batch
+    are sure to go on. So a batch sends no bucket twice, however hot it is.
+    """
+
+    def pack(batches):
+        for batch in batches:
+            found = []
+            for part, data, offsets in runs(batch, "text"):
+                s = Suffixes(data, offsets)
+                doc = part.column("mark").to_numpy(zero_copy_only=False)[s.text]
+                found.append((s.bucket >> U(24), doc))
+            if not found:
+                continue
+            bucket, doc = (np.concatenate(c) for c in zip(*found, strict=True))
+            _, first, at, n = np.unique(bucket, return_index=True, return_inverse=True, return_counts=True)
+            sure = np.unique(doc[n[at] > 1])
+            bucket, doc = bucket[first], doc[first]
+            of = (bucket % U(parts)).astype(np.int64)
+            order = np.lexsort((doc, of))
+            bucket, doc, of = bucket[order], doc[order], of[order]
+            bounds = np.searchsorted(of, np.arange(parts + 1))
+            rows = [
+                (
+                    i,
+                    (bucket[a:b] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+                    (bucket[a:b] >> U(32)).astype(np.uint8).tobytes(),
+                    doc[a:b].astype(np.int32).tobytes(),
+                    sure[i::parts].astype(np.int32).tobytes(),
+                )
+                for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))
+                if b > a or len(sure) > i
+            ]
+            kinds = [pa.int32(), *[pa.binary()] * 4]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "low", "high", "docs", "sure"])
+
+    return pack
+
+
+def _marked(rows: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one part's buckets that occur in several batches, as bits."""
+    low, high, docs, sure = (
+        np.frombuffer(b"".join(rows[c]), dtype=kind)
+        for c, kind in (("low", np.uint32), ("high", np.uint8), ("docs", np.int32), ("sure", np.int32))
+    )
+    bucket = (high.astype(np.uint64) << U(32)) | low
+    order = np.argsort(bucket, kind="stable")
+    bucket, docs = bucket[order], docs[order]
+    same = bucket[1:] == bucket[:-1]
+    again = np.zeros(len(bucket), dtype=bool)
+    again[1:] = same
+    again[:-1] |= same
+    return _bits(np.concatenate([docs[again], sure]))
+
+
+def _bits(marks: np.ndarray) -> pd.DataFrame:
+    place = np.unique(marks.astype(np.int32).view(np.uint32) >> np.uint32(32 - BITMAP_BITS)).astype(np.int64)
+    word = place >> 6
+    starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])[: len(word)])
+    bit = np.left_shift(U(1), (place & 63).astype(np.uint64))
+    mask = np.bitwise_or.reduceat(bit, starts) if len(starts) else bit
+    return pd.DataFrame({"word": word[starts], "mask": mask.view(np.int64)})
+
+
+def _in_bitmap(held):
+    @F.pandas_udf("boolean")
+    def inside(marks: pd.Series) -> pd.Series:
+        place = (marks.to_numpy(np.int32).view(np.uint32) >> np.uint32(32 - BITMAP_BITS)).astype(np.int64)
+        return pd.Series((held.value[place >> 6] >> (place & 63).astype(np.uint64)) & U(1) == 1)
+
+    return inside
+
+
+def _going_on(named: DataFrame) -> Column:
+    """Whether a document, by its ``mark``, may share a bucket with another or with itself.
+
+    The bitmap has ``2 ** BITMAP_BITS`` bits, 16 MB, whatever the input; the driver merges it.
+    """
+    parts = max(1, 2 * named.rdd.getNumPartitions())
+    packed = named.mapInArrow(_packed(parts), "part int, low binary, high binary, docs binary, sure binary")
+    bits = (
+        packed.groupBy("part")
+        .applyInPandas(_marked, "word long, mask long")
+        .groupBy("word")
+        .agg(F.bit_or("mask").alias("mask"))
+        .toPandas()
+    )
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    bitmap[bits["word"].to_numpy(np.int64)] = bits["mask"].to_numpy(np.int64).view(np.uint64)
+    return _in_bitmap(named.sparkSession.sparkContext.broadcast(bitmap))(F.col("mark"))
+
+
+def _dealt(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """``df`` written in buckets of doc_id, so that later joins needn't move it again."""
+    spark = df.sparkSession
+    table = f"slipmatch_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/slipmatch/{spark.sparkContext.applicationId}/{table}"
+    writer = df.repartition(buckets, "doc_id").write.option("path", path).option("compression", "zstd")
+    writer.bucketBy(buckets, "doc_id").saveAsTable(table)
+    return spark.table(table)
+
+
 def _smallest(bucket: np.ndarray, key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     """One row for each class in a batch: its smallest document and its number of suffixes."""
     order = np.argsort(key, kind="stable")
@@ -176,23 +302,32 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     nothing and nothing is lost to them. Rows under one id are one document in several rows, each of
     which is compared with other ids and with itself. Further columns are left out.
     """
-    named = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND octet_length(text) >= 100")
+    spark = docs.sparkSession
+    named = docs.select(F.col("doc_id").cast("long"), F.hash(F.col("doc_id").cast("long")).alias("mark"), "text")
+    named = named.where("doc_id IS NOT NULL AND octet_length(text) >= 100")
+    named = named.where(_going_on(named)).select("doc_id", "text")
+    named = _dealt(named, "texts", max(int(spark.conf.get("spark.sql.shuffle.partitions")), named.rdd.getNumPartitions() // 4))
     # Dealt by bucket, so that all classes of a bucket meet without another shuffle.
     dealt = named.mapInArrow(_classes, "bucket long, key long, smallest long, n long").repartition("bucket")
     classes = dealt.groupBy("bucket", "key").agg(F.min("smallest").alias("smallest"), F.sum("n").alias("n"))
-    buckets = classes.groupBy("bucket").agg(F.count("*").alias("classes"), F.sum("n").alias("total")).where("total > 1")
-    live = written(
-        classes.join(buckets, "bucket").select("key", "smallest", (F.col("classes") > 1).alias("several")), "live-classes"
+    whole = Window.partitionBy("bucket")
+    live = (
+        classes.select(
+            "key", "smallest", F.sum("n").over(whole).alias("total"), (F.count("*").over(whole) > 1).alias("several")
+        )
+        .where("total > 1")
+        .drop("total")
     )
+    live = written(live, "live-classes")
     fates = named.mapInArrow(_members, "doc_id long, key long").join(live, "key").groupBy("doc_id").agg(
         F.collect_set(F.when(F.col("smallest") < F.col("doc_id"), F.col("key"))).alias("gone"),
         F.collect_set(F.when((F.col("smallest") == F.col("doc_id")) & F.col("several"), F.col("key"))).alias("still"),
     )
-    touched = written(
-        named.join(fates, "doc_id").withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256)), "touched"
-    )
+    fates = written(fates, "fates")
     strings = written(
-        touched.where("size(still) > 0").select("doc_id", "text", "still").mapInArrow(_open_strings, "doc_id long, string long"),
+        named.join(fates.where("size(still) > 0").select("doc_id", "still"), "doc_id").mapInArrow(
+            _open_strings, "doc_id long, string long"
+        ),
         "open-strings",
     )
     earliest = strings.groupBy("string").agg(F.min("doc_id").alias("earliest"), F.count("*").alias("n")).where("n > 1")
@@ -202,8 +337,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_set("string").alias("strings"))
     )
+    touched = named.join(fates, "doc_id").join(shared, "doc_id", "left")
+    touched = touched.withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
     result = "doc_id long, text_sha256 string, n_removed long, n_spans long, kept_sha256 string"
-    cut = touched.join(shared, "doc_id", "left").mapInArrow(_removed, result).dropDuplicates(["doc_id", "text_sha256"])
+    cut = touched.mapInArrow(_removed, result).dropDuplicates(["doc_id", "text_sha256"])
     text = to_utf8("text")
     whole = docs.select(
         F.col("doc_id").cast("long"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256")
