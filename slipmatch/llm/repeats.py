@@ -42,6 +42,9 @@ SPAN = LENGTH - GRAM + 1
 HALF = SPAN // 2
 POSITION_BITS = 28
 BITMAP_BITS = 27
+# A document's buckets are dealt over this many parts at least, so that the bits its parts
+# send grow with the documents and not with the parts.
+LEAST_PARTS = 256
 
 
 class Suffixes:
@@ -181,7 +184,7 @@ def _going_on(named: DataFrame) -> Column:
 
     The bitmap has ``2 ** BITMAP_BITS`` bits, 16 MB, whatever the input; the driver merges it.
     """
-    parts = max(1, 2 * named.rdd.getNumPartitions())
+    parts = max(LEAST_PARTS, 2 * named.rdd.getNumPartitions())
     packed = named.mapInArrow(_packed(parts), "part int, low binary, high binary, docs binary, sure binary")
     bits = (
         packed.groupBy("part")
