@@ -26,11 +26,11 @@ from slipmatch.sources.shared import written
 
 WORDS = 5
 BANDS, ROWS = 25, 5
-SAMPLES = 128
-SKETCH_WORDS = 8
+SAMPLES = 512
+SKETCH_WORDS = 16
 SKETCH_BITS = 64 * SKETCH_WORDS
 # Pairs this many standard deviations below the limit are still compared in full.
-DEVIATIONS = 5
+DEVIATIONS = 4
 
 FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | U(1)
 MASKS = mix(np.arange(1001, SAMPLES + 1001, dtype=np.uint64))
