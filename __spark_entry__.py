@@ -18,17 +18,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import TEXTS  # noqa: E402
 from slipmatch.functions.dates import sale_day, to_ymd  # noqa: E402
-from slipmatch.functions.text import contains  # noqa: E402
+from slipmatch.functions.text import contains, without_semicolons  # noqa: E402
 from slipmatch.operators import rules  # noqa: E402
 from slipmatch.operators.events import extra_events  # noqa: E402
-from slipmatch.operators.export import report  # noqa: E402
+from slipmatch.operators.export import write_report  # noqa: E402
 from slipmatch.operators.tickets import item_values, ticket_details, ticket_summary  # noqa: E402
 from slipmatch.operators.totals import both_totals, cancelled_totals, sold_totals  # noqa: E402
-from slipmatch.operators.upsert import CHANGE, INSERTED, counts, stamped, upsert  # noqa: E402
+from slipmatch.operators.upsert import CHANGE, INSERTED, counts, upsert  # noqa: E402
 from slipmatch.plans import reconcile as plan  # noqa: E402
+from slipmatch.plans.store import ResultStore  # noqa: E402
 from slipmatch.schemas import CODE, NAME, NUMBER, OBSERVATION, STAMP  # noqa: E402
 from slipmatch.sources import retail  # noqa: E402
 from slipmatch.sources.query import first_row, run_query  # noqa: E402
+from slipmatch.sources.shared import own_folder  # noqa: E402
 from slipmatch.sources.tables import Tables  # noqa: E402
 
 try:  # the one place that lets the text operators be absent
@@ -85,6 +87,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_keyed": upsert_keyed,
         "upsert_evolve": upsert_evolve,
         "upsert_counts": upsert_counts,
+        "upsert_empty": upsert_empty,
+        "upsert_exclude": upsert_exclude,
     }
 
 
@@ -128,7 +132,7 @@ def scan_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(retail.load(spark, sf_dir).sales.where(F.col("activo") == 1).drop("activo"))
+    return shown(retail.load(spark, sf_dir).sales)
 
 
 def param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +141,7 @@ def param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {summary} WHERE emission BETWEEN :first AND :last AND receipt >= :least
         GROUP BY associated_company
     """
-    bound = {"first": "19950101", "last": "20011231", "least": 100}
+    bound = {"first": "19960101", "last": "19991231", "least": 100}
     return shown(run_query(spark, text, bound, summary=_summary(retail.load(spark, sf_dir))))
 
 
@@ -276,15 +280,24 @@ def reconcile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exported(plan.valid_tickets(_verdicts(spark, sf_dir)))
+    return shown(without_semicolons(_stored(spark, plan.valid_tickets(_verdicts(spark, sf_dir)))))
 
 
 def export_incongruent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exported(plan.incongruent_tickets(_verdicts(spark, sf_dir)))
+    """By way of the report itself: written, and read as whoever gets it reads it."""
+    rows = _stored(spark, plan.incongruent_tickets(_verdicts(spark, sf_dir)))
+    path = own_folder(spark, "report")
+    write_report(rows, path)
+    layout = T.StructType([T.StructField(f.name, T.StringType()) for f in rows.schema.fields])
+    found = spark.read.schema(layout).options(sep=";", header=True, quote='"', escape='"').csv(path)
+    return shown(found.withColumn(STAMP, F.to_timestamp(STAMP)))
 
 
-def _exported(result: DataFrame) -> DataFrame:
-    return shown(report(stamped(result, FIRST_RUN), EXPORT_RUN))
+def _stored(spark: SparkSession, result: DataFrame) -> DataFrame:
+    """One closing day out of a result table with all days."""
+    store = ResultStore(spark, own_folder(spark, "results"))
+    store.upsert("verdicts", result, as_of=FIRST_RUN)
+    return store.read_day("verdicts", EXPORT_RUN - dt.timedelta(days=1))
 
 
 def _ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -342,6 +355,24 @@ def upsert_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(upsert(first, second, update_schema=True, as_of=SECOND_RUN))
 
 
+def upsert_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch without rows leaves all as it was, and the store tells that nothing came."""
+    first, second = _ledgers(spark, sf_dir)
+    none = second.drop("prioridade").where(F.col(NUMBER) < "1900")
+    store = ResultStore(spark, own_folder(spark, "results"))
+    store.upsert("ledger", first)
+    if store.upsert("ledger", none, as_of=SECOND_RUN) is not None:
+        raise AssertionError("an empty batch changed the table")
+    return shown(store.read("ledger"))
+
+
+def upsert_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched on all columns but two; the batch lacks one that the target has."""
+    first, second = _ledgers(spark, sf_dir)
+    source = second.drop("prioridade", NAME)
+    return _changes(upsert(first, source, exclude=[OBSERVATION], as_of=SECOND_RUN))
+
+
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _ledgers(spark, sf_dir)
     by_all = counts(upsert(first, second.drop("prioridade"), as_of=SECOND_RUN))

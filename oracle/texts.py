@@ -309,13 +309,13 @@ SELECT point AS puntoventa_id, type AS tipoventa_id, strftime(moment, '%Y-%m-%d
        status AS indstatusboleto,
        CAST(price AS DOUBLE) AS preciopagado, CAST(boarding AS DOUBLE) AS importetaxaembarque,
        CAST(toll AS DOUBLE) AS importepedagio, CAST(others AS DOUBLE) AS importeoutros,
-       CAST(insurance AS DOUBLE) AS importeseguro
-FROM sale WHERE active = 1
+       CAST(insurance AS DOUBLE) AS importeseguro, active AS activo
+FROM sale
 """,
     "param_query": BASE
     + """
 SELECT company AS associated_company, count(*) AS tickets, CAST(sum(receipt) AS DOUBLE) AS declared
-FROM ticket WHERE emission BETWEEN '19950101' AND '20011231' AND receipt >= 100.00
+FROM ticket WHERE emission BETWEEN '19960101' AND '19991231' AND receipt >= 100.00
 GROUP BY company
 """,
     "first_row": BASE
@@ -395,6 +395,28 @@ FROM verdict
     "upsert_insert": LEDGER + "SELECT * FROM plain",
     "upsert_keyed": LEDGER + "SELECT * FROM keyed",
     "upsert_evolve": LEDGER + "SELECT * FROM evolved",
+    "upsert_empty": LEDGER + "SELECT * FROM target",
+    "upsert_exclude": LEDGER
+    + """
+, best AS (
+  SELECT cod_agencia_protheus, num_ficha_protheus, max(observacao) AS observacao,
+         max(data_processamento) AS data_processamento
+  FROM source GROUP BY ALL
+)
+SELECT t.nome_agencia, t.cod_agencia_protheus, t.num_ficha_protheus,
+       CASE WHEN newer THEN n.observacao ELSE t.observacao END AS observacao,
+       CASE WHEN newer THEN n.data_processamento ELSE t.data_processamento END AS data_processamento,
+       CASE WHEN newer THEN 'updated' ELSE 'kept' END AS change
+FROM target AS t
+LEFT JOIN best AS n ON n.cod_agencia_protheus = t.cod_agencia_protheus
+                   AND n.num_ficha_protheus = t.num_ficha_protheus
+CROSS JOIN LATERAL (SELECT coalesce(t.data_processamento < n.data_processamento, false) AS newer) AS f
+UNION ALL
+SELECT NULL, cod_agencia_protheus, num_ficha_protheus, observacao, data_processamento, 'inserted'
+FROM source AS s WHERE NOT EXISTS (
+  SELECT 1 FROM target AS t WHERE s.cod_agencia_protheus = t.cod_agencia_protheus
+    AND s.num_ficha_protheus = t.num_ficha_protheus)
+""",
     "upsert_counts": LEDGER
     + """
 SELECT matched_on, CAST(count_if(change = 'updated') AS BIGINT) AS updated,

@@ -27,8 +27,14 @@ def is_live(flag: Column | str) -> Column:
     return F.rtrim(flag) == ""
 
 
+def is_pattern(text: Column) -> Column:
+    """Whether a text can be searched as a pattern; NULL cannot. For projections only."""
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), text)
+    return text.isNotNull() & compiled.isNotNull()
+
+
 def contains(text: Column, part: Column | str, regex: bool = False) -> Column:
-    """Case-sensitive search; a NULL text never matches."""
+    """Case-sensitive search; a NULL text never matches. A pattern must be well-formed."""
     part = part if isinstance(part, Column) else F.lit(part)
     hit = F.regexp_like(text, part) if regex else F.contains(text, part)
     return F.coalesce(hit, F.lit(False))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from slipmatch.functions.dates import sale_day
 from slipmatch.functions.money import cents, or_zero
-from slipmatch.functions.text import contains
+from slipmatch.functions.text import contains, is_pattern
 from slipmatch.operators.totals import CANCELLED_TOTAL, SOLD, SOME_CANCELLED, has_mark, known_amounts
 
 # Patterns searched in item descriptions.
@@ -32,7 +32,7 @@ NOTHING_TO_DECLARE = "Nada a declarar."
 
 ITEM_KEY = ["emission", "agency_code", "associated_company"]
 EVENT_KEY = ["agency_name", *ITEM_KEY]
-EVENT = ["bill_description", "description", "nature", "event_company", "total"]
+EVENT = ["bill_description", "description", "nature", "event_company", "total", "searched"]
 
 
 def with_sale_date(tickets: DataFrame) -> DataFrame:
@@ -104,7 +104,10 @@ def event_checks(
     execution may split on either side when one group holds a large share of the items;
     events without a match come back by the union.
     """
-    sold = events.withColumnRenamed("associated_company", "event_company")
+    # What is searched; NULL for a malformed pattern, settled before any join could meet it.
+    text = F.col("description")
+    searched = F.when(is_pattern(text), text) if regex else text
+    sold = events.withColumnRenamed("associated_company", "event_company").withColumn("searched", searched)
     due = (
         tickets.select(*EVENT_KEY, "sale_date")
         .distinct()
@@ -112,7 +115,7 @@ def event_checks(
         .select(*EVENT_KEY, *EVENT)
     )
     item = F.struct("transaction_description", _first_value().alias("value"))
-    mentioned = contains(F.col("transaction_description"), F.col("description"), regex)
+    mentioned = contains(F.col("transaction_description"), F.col("searched"), regex)
     found = items.join(due, ITEM_KEY).where(mentioned).select(*EVENT_KEY, *EVENT, item.alias("item"))
     return (
         due.unionByName(found, allowMissingColumns=True)
@@ -132,18 +135,22 @@ def event_message() -> Column:
 def event_messages(checks: DataFrame) -> DataFrame:
     """Per ticket group: event messages ordered by event description, and reject marks.
 
-    The list a group collects is its message: one entry per event that went wrong.
+    The list a group collects is its message: one entry per event that went wrong, bounded by
+    the distinct events of one agency and day.
     """
     item, event, message = F.col("item"), F.col("description"), event_message()
+    unreadable = event.isNotNull() & F.col("searched").isNull()
     entry = F.struct("bill_description", "nature", "event_company", "total", message.alias("message"))
     return checks.groupBy(*EVENT_KEY).agg(
         F.array_sort(F.collect_list(F.when(message.isNotNull(), entry))).alias("entries"),
         F.bool_or(event.isNull()).alias("event_unnamed"),
+        F.bool_or(unreadable).alias("event_unreadable"),
         F.bool_or(item.isNotNull() & item["value"].isNull()).alias("event_unvalued"),
     ).select(
         *EVENT_KEY,
         F.array_join(F.col("entries.message"), ";").alias("event_reasons"),
         "event_unnamed",
+        "event_unreadable",
         "event_unvalued",
     )
 
@@ -154,6 +161,7 @@ def with_event_rule(tickets: DataFrame, messages: DataFrame) -> DataFrame:
         *tickets.columns,
         F.coalesce("event_reasons", F.lit("")).alias("event_reasons"),
         _flag("event_unnamed").alias("event_unnamed"),
+        _flag("event_unreadable").alias("event_unreadable"),
         _flag("event_unvalued").alias("event_unvalued"),
     )
 

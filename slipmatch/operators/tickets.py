@@ -30,7 +30,8 @@ def ticket_summary(
 ) -> DataFrame:
     """Live tickets emitted in [first, last], once per agency row of the same code.
 
-    An agency code used by two companies yields a row for each.
+    An agency code used by two companies yields a row for each. Without bounds, tickets whose
+    emission is no date are among them, with a NULL ``emission_date``.
     """
     live = tickets.where(is_live("D_E_L_E_T_") & emitted_between(F.col("G6X_DTREME"), first, last)).select(
         key_text("G6X_AGENCI").alias("code"),
@@ -48,7 +49,7 @@ def ticket_summary(
         strip("GI6_DESCRI").alias("agency_name"),
         strip("GI6_CODIGO").alias("agency_code"),
     )
-    return live.where(F.col("emission_date").isNotNull()).join(named, "code").select(*SUMMARY)
+    return live.join(named, "code").select(*SUMMARY)
 
 
 def item_kind(code: Column | str) -> Column:

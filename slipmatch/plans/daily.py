@@ -12,7 +12,7 @@ from slipmatch.operators import events, export, tickets, totals
 from slipmatch.plans.reconcile import incongruent_tickets, reconcile_tables, rejected_tickets, valid_tickets
 from slipmatch.plans.store import ResultStore
 from slipmatch.schemas import INCONGRUENT_TABLE, VALID_TABLE
-from slipmatch.sources.shared import written
+from slipmatch.sources.shared import remove, write_aside
 from slipmatch.sources.tables import Tables
 
 # Names of the exported reports.
@@ -58,12 +58,15 @@ class ClosingDay:
         tickets. The verdicts are written once and read from there by all three.
         """
         day = as_date(day)
-        verdicts = written(reconcile_tables(self.tables, day, day), "verdicts")
-        return {
+        aside = write_aside(reconcile_tables(self.tables, day, day), "verdicts")
+        verdicts = aside.read(self.store.spark)
+        outcome = {
             VALID_TABLE: self.store.upsert(VALID_TABLE, valid_tickets(verdicts), as_of=as_of),
             INCONGRUENT_TABLE: self.store.upsert(INCONGRUENT_TABLE, incongruent_tickets(verdicts), as_of=as_of),
             "rejected": rejected_tickets(verdicts).count(),
         }
+        remove(self.store.spark, aside.path)
+        return outcome
 
     def export(self, folder: str, day: Day = None, files: int | None = None) -> None:
         """Both reports of the closing day before ``day``, below ``folder``."""

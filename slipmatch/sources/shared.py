@@ -19,13 +19,23 @@ class Written(NamedTuple):
         return spark.read.schema(self.schema).parquet(self.path)
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one."""
+    return f"{shared_dir(spark)}/slipmatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def write_aside(df: DataFrame, name: str) -> Written:
     """``df`` as parquet below the shared folder, in a place of its own."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/slipmatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = own_folder(df.sparkSession, name)
     df.write.parquet(path)
     return Written(path, df.schema)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this package wrote, whatever file system it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     return write_aside(df, name).read(df.sparkSession)

@@ -58,12 +58,16 @@ class Tables:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, accounting: dict, sales: dict, split: dict | None = None) -> Tables:
-        """Tables read over JDBC; ``split`` may give a ``JdbcSplit`` per table.
+        """Tables read over JDBC; ``split`` gives a ``JdbcSplit`` for each fact table.
 
+        A fact table without one would be read by a single task, so that is an error.
         Master data is copied to the shared folder first. Spark knows no sizes of JDBC
         tables; of files it does, and can tell which it may broadcast.
         """
         split = split or {}
+        whole = sorted(set(FIELDS) - MASTER_DATA - set(split))
+        if whole:
+            raise ValueError(f"no split given for the fact tables {whole}")
         read = {
             table: jdbc.read_table(spark, accounting if table in ACCOUNTING else sales, table, split.get(table))
             for table in FIELDS

@@ -40,8 +40,11 @@ def test_master_data_is_copied(spark, monkeypatch):
 
     monkeypatch.setattr("slipmatch.sources.jdbc.read_table", read_table)
     split = JdbcSplit("puntoventa_id", 1, 100, 4)
-    tables = Tables.from_jdbc(spark, {"url": "erp"}, {"url": "sales"}, {"caja": split})
-    assert ({"url": "sales"}, "caja", split) in asked and ({"url": "erp"}, "G6X010", None) in asked
+    splits = dict.fromkeys(set(FIELDS) - MASTER_DATA, split)
+    with pytest.raises(ValueError, match="G6X010"):
+        Tables.from_jdbc(spark, {"url": "erp"}, {"url": "sales"}, {"caja": split})
+    tables = Tables.from_jdbc(spark, {"url": "erp"}, {"url": "sales"}, splits)
+    assert ({"url": "sales"}, "caja", split) in asked and ({"url": "erp"}, "GI6010", None) in asked
     copied = {t for t, field in FIELDS.items() if getattr(tables, field).inputFiles()}
     assert copied == MASTER_DATA
     assert [r["verdict"] for r in reconcile_tables(tables, DAY, DAY).collect()] == ["valid"]
