@@ -87,7 +87,7 @@ def shingles(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(w.offsets)
     n = len(w.hashes)
     rolled = np.zeros(n, dtype=np.uint64)
-    for back in range(size):
+    for back in range(min(size, n)):
         rolled[: n - back] += w.hashes[back:] * powers(STEP, size)[back]
     rolled = mix(rolled + U(size))
     keep = np.ones(n, dtype=bool)
