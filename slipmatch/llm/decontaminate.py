@@ -101,7 +101,8 @@ class Index:
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (position in ``prints``, run of the index) at most RADIUS bits apart."""
-        at, run = [], []
+        at = [np.zeros(0, dtype=np.int64)]
+        run = [np.zeros(0, dtype=np.int64)]
         for block in range(BLOCKS):
             key = self._block(prints, block)
             hit = np.flatnonzero(self.present[block][key])
@@ -201,9 +202,9 @@ def _found(found, items: Items, indexes: list[Index], of_item: list[np.ndarray],
         places = np.unique(np.stack([text, item, start, stop])[:, inside], axis=1)
         for t, i, a, b in places.T.tolist():
             alike = similarity(_shingled(found.hashes[a:b]), of_item[i])
-            first = a - int(found.offsets[t])
-            if alike >= least and (alike, -first) > (best.get((t, i), (0.0, 0, 0))[0], -best.get((t, i), (0.0, 0, 0))[1]):
-                best[t, i] = (alike, first, b - a)
+            # Places come in order, so the first of equally good ones stays.
+            if alike >= least and alike > best.get((t, i), (0.0, 0, 0))[0]:
+                best[t, i] = (alike, a - int(found.offsets[t]), b - a)
     return [(t, i, alike, first, n) for (t, i), (alike, first, n) in sorted(best.items())]
 
 
