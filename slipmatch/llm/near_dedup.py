@@ -104,7 +104,8 @@ def _apart(a: str, b: str) -> Column:
 
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose full sets are similar enough."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+    ends = ends.distinct()
     wanted = nodes.join(ends, "node").select(F.col("node").alias("doc_id"), "d0")
 
     def sets(batches):
