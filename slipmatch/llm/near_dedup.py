@@ -8,7 +8,8 @@ the limit are compared on their full sets. Documents with equal sets stand for o
 Within a band's bucket no pairs are spelt out. First every member is compared with one hub,
 the member that shares most buckets. Links found so make components, and only members that
 are still apart from their hub's component are then compared with the others in the bucket,
-other components' members only. Nothing is capped, so no link between two components is lost.
+other components' members only, and only in the first bucket that two of them share. Nothing
+is capped, so no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -102,6 +103,12 @@ def _apart(a: str, b: str) -> Column:
     return total
 
 
+def _first_shared(a: str, b: str) -> Column:
+    """The first band in which two nodes are in one bucket; ``a`` and ``b`` are prefixes."""
+    shared = [F.when(F.col(a + c) == F.col(b + c), F.lit(i)) for i, c in enumerate(BAND_COLUMNS)]
+    return F.coalesce(*shared)
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
@@ -159,7 +166,7 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     nodes = written(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("d0", "d1")
-        .agg(F.min("doc_id").alias("node"), *firsts),
+        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *firsts),
         "nodes",
     )
     bands = F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "bucket")
@@ -189,17 +196,20 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     hub_label = hub_label.select("band", "bucket", "h_node", F.coalesce("h_label", "h_node").alias("h_label"))
     placed = placed.join(hub_label, ["band", "bucket"])
     mixed = placed.groupBy("band", "bucket").agg(F.bool_or(F.col("label") != F.col("h_label")).alias("is_mixed"))
-    placed = written(placed.join(mixed.where("is_mixed"), ["band", "bucket"]), "mixed-buckets")
+    # In a bucket of two components one end of any pair is apart from the hub's, so a pair meets
+    # in the first bucket it shares, or has met its hub there.
+    places = nodes.select("node", "n_shingles", *BAND_COLUMNS)
+    placed = written(placed.join(mixed.where("is_mixed"), ["band", "bucket"]).join(places, "node"), "mixed-buckets")
     minor = placed.where(F.col("label") != F.col("h_label")).select(
-        "band", "bucket", F.col("node").alias("m_node"), F.col("label").alias("m_label"), *[F.col(c).alias(f"m_{c}") for c in SKETCH]
+        "band", "bucket", *[F.col(c).alias(f"m_{c}") for c in ("node", "label", "n_shingles", *SKETCH, *BAND_COLUMNS)]
     )
     once = (F.col("label") == F.col("h_label")) | (F.col("node") > F.col("m_node"))
     rest = (
         minor.join(placed, ["band", "bucket"])
         .where((F.col("label") != F.col("m_label")) & once & (F.col("node") != F.col("h_node")))
-        .where(_apart("", "m_") <= limit)
+        .where((_apart("", "m_") <= limit) & (_first_shared("", "m_") == F.col("band")))
+        .where(100 * F.least("n_shingles", "m_n_shingles") >= percent * F.greatest("n_shingles", "m_n_shingles"))
         .select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b"))
-        .distinct()
     )
     rest = written(rest.join(to_hub, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():

@@ -132,6 +132,36 @@ def test_near_duplicates(make, corpus):
     assert near_dedup.groups(make([(None, "a b c d e f"), (None, None)]), 85).count() == 2
 
 
+def test_components_that_share_buckets(make):
+    """Families a little too far apart to be linked meet in the same buckets, and lose no link."""
+    rng = random.Random(11)
+    base = prose(rng, 120).split(" ")
+    texts = []
+    for family in range(10):
+        # Two changed words far apart: two families have a similarity of about 0.7.
+        own = base[:]
+        own[10 + family], own[60 + 5 * family] = f"f{family}", f"g{family}"
+        for copy in range(6):
+            near = own[:]
+            near[-1 - copy % 3] = f"h{copy}"
+            texts.append(" ".join(near))
+    sets = [shingled(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def top(x):
+        return x if parent[x] == x else top(parent[x])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    expected = {i: top(i) for i in range(len(texts))}
+    assert 1 < len(set(expected.values())) < len(texts)
+    found = near_dedup.groups(make(list(enumerate(texts))), 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+
+
 def test_repeats(make, corpus):
     found = {r["doc_id"]: r for r in repeats.without_repeats(make(corpus)).collect()}
     seen = set()
