@@ -9,7 +9,8 @@ Within a band's bucket no pairs are spelt out. First every member is compared wi
 the member that shares most buckets. Links found so make components, and only members that
 are still apart from their hub's component are then compared with the others in the bucket,
 other components' members only, and only in the first bucket that two of them share. Nothing
-is capped, so no link between two components is lost.
+is capped: a link between two components is lost only if no band of it agrees, or its sketches
+differ by more than ``DEVIATIONS``, which is rare.
 """
 
 from __future__ import annotations
