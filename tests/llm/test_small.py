@@ -223,6 +223,20 @@ def test_html(make):
     assert [found[10 + i] for i in range(4)] == [f"{i} text of its own" for i in range(4)]
 
 
+def test_html_of_many_open_elements():
+    items = "".join(f"<li>i{k}" for k in range(500))
+    bold = "".join(f"<b>w{k} " for k in range(500))
+    assert html.blocks(f"<article>a<aside><ul>{items}</ul></aside><p>rest</p></article>out") == (["a", "rest"], True)
+    assert html.blocks(f"<nav><ul>{items}</ul></nav><p>rest") == (["rest"], False)
+    assert html.blocks(f"<article><p>{bold}</article>out")[0] == [" ".join(f"w{k}" for k in range(500))]
+    assert html.blocks(f"<div class=menu>{'<div>x<b>' * 300}</div>" + "</div>" * 300 + "<p>rest")[0] == ["rest"]
+    # The next item ends one that is dropped, an inner list's doesn't.
+    assert html.blocks("<ul><li class=ad>x<ul><li>y<li>z</ul>w<li>kept</ul>")[0] == ["kept"]
+    assert html.blocks("<table><tr><td class=ad>x<td>kept<tr class=ad><td>y<table><tr><td>z</table><tr><td>too</table>")[0] == ["kept", "too"]
+    assert html.blocks("<dl><dt hidden>x<dd>kept<dd hidden>y<dt>too</dl>")[0] == ["kept", "too"]
+    assert html.blocks("<datalist><option hidden>x<option>kept</datalist>")[0] == ["kept"]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(12, 16))
