@@ -223,6 +223,36 @@ def test_html(make):
     assert [found[10 + i] for i in range(4)] == [f"{i} text of its own" for i in range(4)]
 
 
+def test_html_repeats_of_a_host(make):
+    """Against brute force over all repeats; two pages are enough, copies are one page."""
+    rng = random.Random(21)
+    long, short = prose(rng, 14), "read more"
+    own = [prose(rng, 30) for _ in range(6)]
+    # Hosts h and i have boilerplate on two pages; pages 3 and 4 are copies in different markup.
+    rows = [(0, "x://h/0", f"<p>{own[0]}<p>{long}<p>{short}"), (1, "x://h/1", f"<p>{short}<p>{own[1]} {long} end"),
+            (2, "x://h/2", f"<p>{own[2]} {short} x"), (3, "x://h/3", f"<p>{own[3]}<p>z"), (4, "x://h/4", f"<div>{own[3]}<br>z"),
+            (5, "x://i/0", f"<p>{short}<p>{own[4]}"), (6, "x://i/1", f"<p>{own[4].split(' ', 20)[20]} {own[5]}"), (7, "x://j/0", own[4])]
+    found = {r["page_id"]: r["text"] for r in html.main_text(make(rows, "page_id long, url string, html string")).collect()}
+    cut = {i: html.blocks(t)[0] for i, _, t in rows}
+    tokens = {i: " ".join(parts).split() for i, parts in cut.items()}
+    for i, url, _ in rows:
+        others = [j for j, u, _ in rows if u[4] == url[4] and tokens[j] != tokens[i]]
+        gone = set()
+        for a in range(len(tokens[i])):
+            for b in range(a + html.LONG, len(tokens[i]) + 1):
+                if any(f" {' '.join(tokens[i][a:b])} " in f" {' '.join(tokens[j])} " for j in others):
+                    gone |= set(range(a, b))
+        at = 0
+        for part in cut[i]:
+            n = len(part.split())
+            if n < html.LONG and any(part in cut[j] for j in others):
+                gone |= set(range(at, at + n))
+            at += n
+        assert found[i] == " ".join(t for k, t in enumerate(tokens[i]) if k not in gone)
+    assert found[0] == own[0] and found[1] == own[1] + " end" and found[3] == found[4] == own[3] + " z"
+    assert found[2].endswith("read more x") and found[5].startswith("read more") and found[7] == own[4]
+
+
 def test_html_of_many_open_elements():
     items = "".join(f"<li>i{k}" for k in range(500))
     bold = "".join(f"<b>w{k} " for k in range(500))
