@@ -3,7 +3,8 @@
 A document's set of word shingles gives ``SAMPLES`` minima. Bands of them find candidates; all
 of them, folded into a bitmap in which each flips one bit (an odd sketch), tell by the
 population count of an XOR how similar two candidates are, so that only pairs near or above
-the limit are compared on their full sets. Documents with equal sets stand for one another.
+the limit are compared on their full sets. Documents with equal sets stand for one another: a node
+is a set, by its digest, named by their smallest id. Sets of one id are linked as they are.
 
 Within a band's bucket no pairs are spelt out. First every member is compared with one hub,
 the member that shares most buckets. Links found so make components, and only members that
@@ -38,6 +39,8 @@ FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | U(1)
 MASKS = mix(np.arange(1001, SAMPLES + 1001, dtype=np.uint64))
 BAND_COLUMNS = [f"b{i}" for i in range(BANDS)]
 SKETCH = [f"o{i}" for i in range(SKETCH_WORDS)]
+# Ordered by id, so a component's smallest node has its smallest id.
+NODE = "struct<id: long, d0: long, d1: long>"
 SIGNATURE = ["d0", "d1", *BAND_COLUMNS, *SKETCH]
 
 
@@ -49,6 +52,11 @@ def sketch_limit(percent: float) -> int:
     return math.ceil(odd + math.sqrt(odd))
 
 
+def _digest(members: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    # Sums over a set don't depend on its order.
+    return mix(members).sum(dtype=np.uint64), mix(members ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, and for texts with words a digest of the set, bands and sketch."""
     schema = "doc_id long, n_shingles long, " + ", ".join(f"{c} long" for c in SIGNATURE)
@@ -68,8 +76,7 @@ def _signed(doc_id: pa.Array, hashes: np.ndarray, starts: np.ndarray) -> pa.Reco
     for i in range(n):
         own = np.unique(hashes[starts[i] : starts[i + 1]])
         sizes[i] = len(own)
-        # Sums over a set don't depend on its order.
-        digests[i] = mix(own).sum(dtype=np.uint64), mix(own ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+        digests[i] = _digest(own)
     full = np.flatnonzero(np.diff(starts) > 0)
     minima = np.zeros((SAMPLES, n), dtype=np.uint64)
     if len(full):
@@ -110,31 +117,28 @@ def _first_shared(a: str, b: str) -> Column:
     return F.coalesce(*shared)
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
-    ends = ends.distinct()
-    wanted = nodes.join(ends, "node").select(F.col("node").alias("doc_id"), "d0")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = written(ends.select("node.*"), "pair-ends")
 
     def sets(batches):
         for batch in batches:
             for part, data, offsets in runs(batch, "text"):
                 hashes, starts = shingles(words(data, offsets), WORDS)
-                want = part.column("d0").to_numpy(zero_copy_only=False).view(np.uint64)
-                out, keep = [], []
-                for i in range(len(part)):
-                    own = np.unique(hashes[starts[i] : starts[i + 1]])
-                    # Another text under the same id has another digest.
-                    if mix(own).sum(dtype=np.uint64) == want[i]:
-                        keep.append(i)
-                        out.append(own.tobytes())
-                node = part.column("doc_id").take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([node, pa.array(out, pa.binary())], ["node", "members"])
-
-    members = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").mapInArrow(
-        sets, "node long, members binary"
+                own = [np.unique(hashes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                digests = np.array([_digest(x) for x in own], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+                columns = [pa.array(np.ascontiguousarray(digests[:, k])) for k in (0, 1)]
+                columns.append(pa.array([x.tobytes() for x in own], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["d0", "d1", "members"])
+
+    ids = wanted.select(F.col("id").alias("doc_id")).distinct()
+    members = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi").mapInArrow(
+        sets, "d0 long, d1 long, members binary"
     )
-    members = written(members.dropDuplicates(["node"]), "shingle-sets")
+    # Other texts under the same id have other digests.
+    members = members.dropDuplicates(["d0", "d1"]).join(wanted.select("d0", "d1"), ["d0", "d1"], "left_semi")
+    members = written(members, "shingle-sets")
 
     def compare(batches):
         for batch in batches:
@@ -148,9 +152,20 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -
                 hit[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
             yield batch.select(["a", "b"]).filter(pa.array(hit))
 
-    of_a = members.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
-    of_b = members.select(F.col("node").alias("b"), F.col("members").alias("of_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
+    for end in ("a", "b"):
+        of_end = members.select(F.struct("d0", "d1").alias(f"set_{end}"), F.col("members").alias(f"of_{end}"))
+        pairs = pairs.join(of_end, F.struct(f"{end}.d0", f"{end}.d1") == F.col(f"set_{end}"))
+    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, f"a {NODE}, b {NODE}")
+
+
+def _of_one_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` between the sets of ids that have several."""
+    extremes = [f(c).alias(f"{f.__name__}_{c}") for c in ("d0", "d1") for f in (F.min, F.max)]
+    several = rows.groupBy("doc_id").agg(*extremes).where("min_d0 < max_d0 OR min_d1 < max_d1").select("doc_id")
+    own = rows.select("doc_id", "d0", "d1").join(several, "doc_id").join(nodes.select("node", "d0", "d1"), ["d0", "d1"])
+    own = written(own.select("doc_id", "node").distinct(), "sets-of-one-id")
+    first = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return own.join(first, "doc_id").where("node != a").select("a", F.col("node").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, percent: int) -> DataFrame:
@@ -164,10 +179,11 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     signed = written(signatures(docs), "signatures")
     limit = sketch_limit(percent)
     firsts = [F.first(c).alias(c) for c in (*BAND_COLUMNS, *SKETCH)]
+    named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = written(
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("d0", "d1")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), *firsts),
+        named.groupBy("d0", "d1")
+        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), *firsts)
+        .select(F.struct("id", "d0", "d1").alias("node"), "d0", "d1", "n_shingles", *BAND_COLUMNS, *SKETCH),
         "nodes",
     )
     bands = F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "bucket")
@@ -175,9 +191,9 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     crowded = spread.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(spread.join(crowded, ["band", "bucket"]), "bucket-members")
     support = members.groupBy("node").agg(F.sum("n").alias("support"))
-    hub = F.max(F.struct("support", (-F.col("node")).alias("minus"), *SKETCH)).alias("hub")
+    hub = F.max(F.struct("support", "node", *SKETCH)).alias("hub")
     hubs = written(members.join(support, "node").groupBy("band", "bucket").agg(hub), "bucket-hubs").select(
-        "band", "bucket", (-F.col("hub.minus")).alias("h_node"), *[F.col(f"hub.{c}").alias(f"h_{c}") for c in SKETCH]
+        "band", "bucket", F.col("hub.node").alias("h_node"), *[F.col(f"hub.{c}").alias(f"h_{c}") for c in SKETCH]
     )
     to_hub = written(
         members.join(hubs, ["band", "bucket"])
@@ -186,7 +202,7 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
         .distinct(),
         "hub-pairs",
     )
-    links = written(_linked(to_hub, nodes, docs, percent), "hub-links")
+    links = written(_linked(to_hub, docs, percent).unionByName(_of_one_id(named, nodes)), "hub-links")
     first = components(links)
     label = first.withColumnRenamed("component", "label")
     # Members that no link joins to their hub's component, against all others of the bucket.
@@ -214,9 +230,9 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     )
     rest = written(rest.join(to_hub, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
-        more = written(_linked(rest, nodes, docs, percent), "rest-links")
+        more = written(_linked(rest, docs, percent), "rest-links")
         first = components(links.unionByName(more))
-    found = nodes.join(first, "node", "left").select("d0", "d1", F.coalesce("component", "node").alias("component_id"))
+    found = nodes.join(first, "node", "left").select("d0", "d1", F.coalesce("component", "node")["id"].alias("component_id"))
     whole = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "d0", "d1").join(found, ["d0", "d1"], "left")
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return (

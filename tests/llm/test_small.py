@@ -162,6 +162,19 @@ def test_components_that_share_buckets(make):
     assert {r["doc_id"]: r["component_id"] for r in found} == expected
 
 
+def test_near_duplicates_of_ids_with_several_texts(make):
+    """All texts of an id are looked at, and link what they are near to."""
+    rng = random.Random(17)
+    texts = [prose(rng, 60) for _ in range(6)]
+    near = [t + " end" for t in texts]
+    rows = [(50, texts[0]), (50, texts[1]), (50, texts[2]), (7, near[0]), (3, near[1]), (60, near[2]), (50, None),
+            (9, texts[3]), (9, texts[4]), (9, texts[3]), (12, near[4]), (11, near[3]), (13, texts[5])]
+    want = {50: 3, 7: 3, 3: 3, 60: 3, 9: 9, 12: 9, 11: 9, 13: 13}
+    for some in (rows, rows[::-1]):
+        found = near_dedup.groups(make(some), 85).where("n_shingles > 0").collect()
+        assert len(found) == 12 and all(r["component_id"] == want[r["doc_id"]] for r in found)
+
+
 def test_repeats(make, corpus):
     found = {r["doc_id"]: r for r in repeats.without_repeats(make(corpus)).collect()}
     seen = set()
