@@ -25,7 +25,7 @@ from slipmatch.llm.words import U, Words, shingles, words
 WORDS = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 3, 4
-LONGEST_RUN = 32
+LONGEST_RUN = 16
 # Words of benchmark items that one pass over the documents looks for; more take more passes.
 PASS_WORDS = 2_000_000
 CHUNK = 1 << 14
@@ -35,7 +35,8 @@ def run_size(n: int) -> int:
     """Size of the runs an item of ``n`` words is found by: a power of two, half of it at most.
 
     With s shingles of five words, similarity 0.8 leaves at most s / 9 of them to differ, and
-    each changed word that isn't near an end costs five: one change in 45 words or so.
+    each changed word that isn't near an end costs five: one change in 45 words or so. That leaves a
+    whole run of this size at any place of the changes; runs of 32 could all be broken in 64, 94 or 95 words.
     """
     return min(LONGEST_RUN, 1 << max(0, (max(2, n) // 2).bit_length() - 1))
 

@@ -209,6 +209,33 @@ def test_decontamination(make, corpus):
     assert decontaminate.leaks(make(docs), make([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_of_spread_changes(make):
+    """Words changed a run apart, in items of sizes that runs of 32 don't suffice for."""
+    rng = random.Random(13)
+    items = [(k, prose(rng, n)) for k, n in enumerate([64, 94, 95] * 6)]
+    docs = []
+    for k, text in items:
+        changed = text.split(" ")
+        for at in (0, 32) if len(changed) == 64 else (31, 63):
+            changed[at] = "changed"
+        docs.append((k, prose(rng, 12) + " " + " ".join(changed) + " " + prose(rng, 12)))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(make(docs), make(items, "item_id long, text string")).collect()}
+    assert found == {(k, k) for k, _ in items}
+
+
+def test_no_changes_break_all_runs():
+    """The fewest shingles that changes cost which leave no whole run, against those that 0.8 allows."""
+    for n in range(5, 400):
+        shingle_count, size = n - 4, decontaminate.run_size(n)
+        # By the place of the last change.
+        cost = []
+        for p in range(n):
+            before = [cost[q] + min(p, n - 5) - max(p - 4, q + 1, 0) + 1 if max(p - 4, q + 1) <= n - 5 else cost[q] for q in range(max(0, p - size), p)]
+            cost.append(min([*before, *([min(p, n - 5) - max(0, p - 4) + 1] if p < size else [])]))
+        lost = min(cost[n - size :])
+        assert 10 * (shingle_count - lost) < 8 * (shingle_count + lost)
+
+
 def test_language(make):
     rng = random.Random(3)
     tongues = {"aa": "aba bab abba", "bb": "ono non onno", "cc": "isi sis issi"}
