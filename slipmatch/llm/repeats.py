@@ -1,9 +1,8 @@
-"""Exact removal of repeated byte strings by bucket-pointer refinement of sampled suffixes.
+"""Exact removal of repeated byte strings by content-chosen anchors and fingerprints.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: in a document
-of smaller id, or earlier in the same one. Suffixes are put into buckets by the q-gram they
-start with, and buckets are refined by what stands at other offsets, as in building a suffix
-array; but only suffixes that can matter are looked at, in four rounds:
+of smaller id, or earlier in the same one. This is no recursive bucket-pointer refinement: a bucket
+is a hash of the bytes around an anchor, no round refines by other suffixes' buckets. Four rounds:
 
 1. Of each string of LENGTH bytes the suffix at its smallest q-gram hash is its anchor, a
    choice that depends on the string alone, so equal strings have equal anchors. One suffix
