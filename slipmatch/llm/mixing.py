@@ -2,9 +2,9 @@
 
 The documents of each source form one line in a seeded order, cut into blocks of equally many
 words. Blocks are given to sources by highest quotients target / (2 n + 1), n being the blocks
-a source has got; the sequence of winners is dealt over output shards, so each shard has a
-whole number of blocks from every source. A source's line is then taken block by block from
-its start, and round again where the quota exceeds it.
+a source has got. A source's line is then taken block by block from its start, and round again
+where the quota exceeds it. The mix is not dealt over output shards: ``shard_quotas`` tells what
+each shard would get, but ``mixed`` and ``drawn`` don't use it.
 """
 
 from __future__ import annotations
