@@ -7,7 +7,8 @@ of four blocks one must then be equal. Each find lays the item over the document
 window of the item's size there is compared with it exactly, by weighted word shingles.
 
 ``W`` is so short that a passage with similarity 0.8 or more always keeps one run of ``W``
-words unchanged, whose fingerprint is equal, so no such passage is missed.
+words unchanged, whose fingerprint is equal, so no such passage is missed. This is tested for
+substituted words in items of 5 to 399 words; for words put in or left out it is not proven.
 """
 
 from __future__ import annotations
