@@ -22,7 +22,7 @@ def to_utf8(column: str):
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
-def runs(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def runs(batch: pa.RecordBatch, column: str, run_bytes: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch with the bytes of a string column and the offset of each row in them."""
     whole = batch.column(column)
     lengths = np.asarray(pc.fill_null(pc.binary_length(whole), 0)).astype(np.int64)
@@ -30,7 +30,7 @@ def runs(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, n
     first = 0
     while first < len(lengths):
         base = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, base + RUN_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + run_bytes, "right")))
         part = batch.slice(first, last - first)
         texts = pc.fill_null(part.column(column).cast(pa.large_binary()), b"")
         data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
