@@ -5,10 +5,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slipmatch.llm import decontaminate, html, language, mixing, near_dedup, neighbours, repeats, slots, tokens
+from slipmatch.llm import (
+    decontaminate,
+    html,
+    language,
+    mixing,
+    near_dedup,
+    neighbours,
+    phrases,
+    repeats,
+    resampling,
+    slots,
+    token_files,
+    tokens,
+)
 from slipmatch.llm.tables import load
 from slipmatch.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from slipmatch.session import shared_dir
@@ -25,6 +37,7 @@ RULES = (
 LISTED_LABELS = ("casino-win", "ads-track")
 LISTED = r"(^|\.)(" + "|".join(LISTED_LABELS) + r")(\.|$)"
 SHARDS = 16
+END_ID = 2
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +102,27 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = tokens.TokenCache(spark, own_folder(spark, "token-counts"))
-    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return tokens.token_counts(load(spark, sf_dir, "documents"), tokenizer, cache)
+    return tokens.token_counts(load(spark, sf_dir, "documents"), tokenizer_file(), cache)
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = own_folder(spark, "token-files")
+    found = token_files.stored(load(spark, sf_dir, "documents"), tokenizer_file(), END_ID, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -105,4 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": op8_html_extraction,
         "op9_neighbours": op9_neighbours,
         "op10_token_counts": op10_token_counts,
+        "op11_collocations": op11_collocations,
+        "op12_resampling": op12_resampling,
+        "op13_token_files": op13_token_files,
     }
