@@ -16,6 +16,7 @@ system that it knows, and a lost executor's half-written file never becomes part
 
 from __future__ import annotations
 
+import array
 import hashlib
 import math
 import os
@@ -29,7 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slipmatch.llm.tables import to_utf8
 from slipmatch.sources.shared import remove, write_aside
@@ -43,8 +44,11 @@ FILE_BYTES = 32 << 20
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 << 10, 1000, 2048
 # Fewer samples than this train no dictionary; frames then have none.
 LEAST_SAMPLES = 16
-# Words whose ids a worker remembers; the memory is emptied when full.
-MEMO_WORDS = 1_000_000
+# New words whose ids a worker remembers, before it forgets those not seen since the last time.
+MEMO_WORDS = 300_000
+# Letters below this code point are letters in every Unicode version.
+OLD_LETTERS = 0x250
+CLOSING = ".,;:!?"
 ROWS, YIELD_BYTES = 256, 4 << 20
 # White space other than blank and line feed, and characters that some Unicode versions count as such.
 OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -52,7 +56,7 @@ DOUBLED = ("  ", " \n", "\n ", "\n\n")
 
 ENCODED = "doc_id long, tie long, size int, record binary"
 INDEX = "file long, doc_id long, offset long, length int, n_tokens long, before long"
-IDS = "file long, doc_id long, before long, n_tokens long, ids binary"
+IDS = "doc_id long, start long, n_tokens long, ids binary"
 
 
 class Encoder:
@@ -75,10 +79,46 @@ class Encoder:
         self.cuts = '"type":"ByteLevel","add_prefix_space":false' in layout and self.model.normalizer is None
         ids = self.model.get_vocab(with_added_tokens=True).values()
         self.width = 2 if max(ids, default=0) < 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.letters = self._letters() if self.cuts else {}
+
+    def _letters(self) -> dict[int, str]:
+        """How the pre-tokenizer spells letters and the blank before a word; none if letters
+        may be part of an added token, or the blank is not spelled apart."""
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        if any(t.isalpha() for t in added):
+            return {}
+        spell = self.model.pre_tokenizer.pre_tokenize_str
+        out = {c: spell(chr(c))[0][0] for c in range(OLD_LETTERS) if chr(c).isalpha()}
+        blank, rest = spell(" a")[0][0][:1], spell(" a")[0][0][1:]
+        return out | {0x20: blank} if rest == "a" else {}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        out = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def word(self, piece: str) -> bytes | None:
+        """The ids of a piece that is a word of plain letters, a blank before and a mark behind
+        it allowed; None for others. Such a word is one pre-token, which goes to the library's
+        model itself, and a mark at the end of a piece is another."""
+        body = piece[1:] if piece[:1] == " " else piece
+        mark = ""
+        if body[-1:] in CLOSING and body:
+            body, mark = body[:-1], body[-1]
+        if not body.isalpha() or not (body.isascii() or max(body) < chr(OLD_LETTERS)):
+            return None
+        tokenize = self.model.model.tokenize
+        if mark:
+            bare = piece[:-1]
+            known = self.memo.get(bare) or self.older.get(bare)
+            if known is None:
+                known = self.memo[bare] = self.packed([t.id for t in tokenize(bare.translate(self.letters))])
+            return known + self.packed([t.id for t in tokenize(mark)])
+        return self.packed([t.id for t in tokenize(piece.translate(self.letters))])
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [self.packed(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,8 +128,14 @@ class Encoder:
         cut = [self._pieces(t) for t in texts]
         wanted = {p for pieces in cut if pieces is not None for p in pieces}
         if len(self.memo) + len(wanted) > MEMO_WORDS:
-            self.memo.clear()
-        new = [p for p in wanted if p not in self.memo]
+            self.memo, self.older = {}, self.memo
+        new = []
+        for piece in wanted.difference(self.memo):
+            ids = self.older.get(piece) or (self.word(piece) if self.letters else None)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.memo[piece] = ids
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
             self.memo.update(zip(some, self.encoded(some), strict=True))
@@ -278,19 +324,19 @@ class TokenFiles:
     def read(self) -> DataFrame:
         """doc_id, start, n_tokens and ``ids`` (little-endian unsigned 32-bit) of all documents.
 
-        ``start`` counts the ids of all documents before. Only one number a file is summed up
-        in one place; places within a file come from the file.
+        ``start`` counts the ids of all documents before. The driver sums up one number a file,
+        8 bytes for each of FILE_BYTES or so; places within a file come from the file.
         """
-        dictionary = self.dictionary()
+        dictionary, starts = self.dictionary(), self._starts()
 
         def decode(batches):
             decompressor = dictionary.decompressor()
             for batch in batches:
                 for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
-                    before, rows, held = 0, [], 0
+                    before, rows, held = int(starts[file]), [], 0
                     for found in parsed(content.as_buffer()):
                         ids = dictionary.ids(decompressor, found.frame)
-                        rows.append((file, found.doc_id, before, len(ids), ids.tobytes()))
+                        rows.append((found.doc_id, before, len(ids), ids.tobytes()))
                         before += len(ids)
                         held += 4 * len(ids)
                         if held >= YIELD_BYTES:
@@ -299,11 +345,14 @@ class TokenFiles:
                     if rows:
                         yield _batch(rows)
 
-        sums = self.index().groupBy("file").agg(F.sum("n_tokens").alias("ids"))
-        earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-        starts = sums.select("file", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("first"))
-        found = self._files().mapInArrow(decode, IDS)
-        return found.join(starts, "file").select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")
+        return self._files().mapInArrow(decode, IDS)
+
+    def _starts(self) -> np.ndarray:
+        """Ids before each file, by its number."""
+        sums = self.index().groupBy("file").agg(F.sum("n_tokens").alias("ids")).toPandas().sort_values("file")
+        out = np.zeros(int(sums["file"].max()) + 2 if len(sums) else 1, dtype=np.int64)
+        out[sums["file"].to_numpy(np.int64) + 1] = sums["ids"].to_numpy(np.int64)
+        return np.cumsum(out)
 
     def document(self, doc_id: int) -> list[np.ndarray]:
         """Ids of the rows of one document: only its part of the index and its records are read."""
@@ -332,9 +381,9 @@ class TokenFiles:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    kinds = [pa.int64()] * 4 + [pa.binary()]
+    kinds = [pa.int64()] * 3 + [pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "doc_id", "before", "n_tokens", "ids"]
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "n_tokens", "ids"]
     )
 
 
