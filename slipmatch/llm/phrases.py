@@ -8,9 +8,9 @@
    proposal, and another pass counts what that adds to the border, until no pass fails. A
    frequent phrase has only frequent parts, so then every frequent phrase has been counted.
 
-The proposal is a bitmap of fixed size for each length, by 64-bit fingerprints. Phrases that get
-in by chance are counted too, which costs time and changes nothing; counts are kept by the
-phrases' texts.
+The proposal is a bitmap for each length, by 64-bit fingerprints, of a size that follows the
+sample's phrases up to 16 MB. Phrases that get in by chance are counted too, which costs time
+and changes nothing; counts are kept by the phrases' texts.
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slipmatch.llm.tables import runs
 from slipmatch.llm.words import LOWERED, U, mix, prefix_sums, stretch_hashes
-from slipmatch.sources.shared import write_aside
+from slipmatch.sources.shared import remove, write_aside
 
 # One document in so many is in the sample, and a phrase is proposed from so many occurrences in it on.
 SAMPLE_EVERY, SAMPLE_LEAST = 4, 2
-BITS, CHUNK_BITS = 27, 20
+# A bitmap has 2 to the power of these many bits: so many that one in SPARSE is set, within bounds.
+LEAST_BITS, MOST_BITS, SPARSE = 20, 27, 16
+CHUNK_BITS = 20
 SALTS = 256
 NO_LANG = "und"
 # Texts are counted in runs of about so many bytes.
@@ -118,17 +120,21 @@ class Proposal:
         self.bitmaps = bitmaps
 
     def has(self, k: int, prints: np.ndarray) -> np.ndarray:
-        place = prints >> U(64 - BITS)
+        place = prints >> U(64 - (len(self.bitmaps[k]) * 8 - 1).bit_length())
         return (self.bitmaps[k][(place >> U(3)).astype(np.int64)] >> (place & U(7)).astype(np.uint8)) & np.uint8(1) > 0
 
     def joined(self, other: Proposal) -> Proposal:
         return Proposal({k: own | other.bitmaps[k] for k, own in self.bitmaps.items()})
 
 
-def proposal(prints: DataFrame, most: int) -> Proposal:
+def bits_for(phrases: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (SPARSE * phrases).bit_length()))
+
+
+def proposal(prints: DataFrame, most: int, bits: int) -> Proposal:
     """From rows ``words``, ``print``: bits set word by word, then packed; the driver sees the bitmaps, whatever the rows."""
     words = (
-        prints.select("words", F.shiftrightunsigned("print", 64 - BITS).alias("place"))
+        prints.select("words", F.shiftrightunsigned("print", 64 - bits).alias("place"))
         .selectExpr("words", "int(shiftright(place, 5)) AS word", "shiftleft(1L, int(place % 32)) AS bit")
         .groupBy("words", "word")
         .agg(F.bit_or("bit").alias("bits"))
@@ -140,7 +146,7 @@ def proposal(prints: DataFrame, most: int) -> Proposal:
         chunk[frame["word"].to_numpy() % len(chunk)] = frame["bits"].to_numpy().astype(np.uint32)
         return pd.DataFrame({"words": [frame["words"].iloc[0]], "chunk": [frame["chunk"].iloc[0]], "content": [chunk.tobytes()]})
 
-    bitmaps = {k: np.zeros(1 << (BITS - 3), dtype=np.uint8) for k in range(1, most)}
+    bitmaps = {k: np.zeros(1 << (bits - 3), dtype=np.uint8) for k in range(1, most)}
     size = 1 << (CHUNK_BITS - 3)
     for row in words.groupBy("words", "chunk").applyInPandas(pack, "words int, chunk int, content binary").toLocalIterator():
         bitmaps[row["words"]][row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["content"], dtype=np.uint8)
@@ -234,13 +240,16 @@ def mined(docs: DataFrame, most: int, least: int) -> DataFrame:
     """lang, words, phrase, n of all words and phrases of up to ``most`` words that occur ``least``
     times or more in a language; ``words`` 0 gives the number of words of the language."""
     spark = docs.sparkSession
-    step, passes = Pass(proposal(sampled(docs, most), most), None), []
+    sample = write_aside(sampled(docs, most), "sample-phrases")
+    bits = bits_for(sample.read(spark).count())
+    step, passes = Pass(proposal(sample.read(spark), most, bits), None), []
+    remove(spark, sample.path)
     while True:
         passes.append(write_aside(counted(docs, step, most, least), "phrase-counts"))
         failed = passes[-1].read(spark).where(~F.col("proposed") & F.col("words").between(1, most - 1))
         if failed.isEmpty():
             break
-        step = Pass(step.proposed.joined(proposal(failed.select("words", "print"), most)), step.proposed)
+        step = Pass(step.proposed.joined(proposal(failed.select("words", "print"), most, bits)), step.proposed)
     out = passes[0].read(spark)
     for further in passes[1:]:
         out = out.unionByName(further.read(spark))
