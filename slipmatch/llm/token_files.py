@@ -16,11 +16,10 @@ system that it knows, and a lost executor's half-written file never becomes part
 
 from __future__ import annotations
 
-import array
 import hashlib
+import itertools
 import math
 import os
-import re
 import struct
 import sys
 import types
@@ -32,40 +31,53 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slipmatch.llm.tables import to_utf8
+from slipmatch.llm.tables import runs, to_utf8
+from slipmatch.llm.words import BYTES, prefix_sums, stretch_hashes
 from slipmatch.sources.shared import remove, write_aside
 
 # Bytes of the frame, whether the document has an id, its id, number of token ids.
 HEAD = "<IBqI"
 HEAD_BYTES = struct.calcsize(HEAD)
 END_MARK = b"\n"
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 # The dictionary: its size, and at most so many documents and ids of each that it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 << 10, 1000, 2048
 # Fewer samples than this train no dictionary; frames then have none.
 LEAST_SAMPLES = 16
-# New words whose ids a worker remembers, before it forgets those not seen since the last time.
-MEMO_WORDS = 300_000
+# Pieces whose ids a worker remembers, about 25 bytes each; the memory is emptied when full.
+MEMO_PIECES = 4_000_000
+YIELD_BYTES = 4 << 20
 # Letters below this code point are letters in every Unicode version.
 OLD_LETTERS = 0x250
 CLOSING = ".,;:!?"
-ROWS, YIELD_BYTES = 256, 4 << 20
-# White space other than blank and line feed, and characters that some Unicode versions count as such.
-OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-DOUBLED = ("  ", " \n", "\n ", "\n\n")
 
 ENCODED = "doc_id long, tie long, size int, record binary"
 INDEX = "file long, doc_id long, offset long, length int, n_tokens long, before long"
 IDS = "doc_id long, start long, n_tokens long, ids binary"
 
 
+def _other_space(data: np.ndarray) -> np.ndarray:
+    """Where white space other than blank and line feed starts, or a character that some Unicode versions count as such."""
+    second, third = np.zeros_like(data), np.zeros_like(data)
+    second[:-1], third[:-2] = data[1:], data[2:]
+    pair = data.astype(np.uint16) << 8 | second
+    of_2080 = ((third >= 0x80) & (third <= 0x8B)) | np.isin(third, (0xA8, 0xA9, 0xAF))
+    return np.flatnonzero(
+        ((data < 0x20) & (data != 0x0A) & ((data >= 0x1C) | ((data >= 0x09) & (data <= 0x0D))))
+        | np.isin(pair, (0xC285, 0xC2A0, 0xE19A, 0xE1A0, 0xE281, 0xEFBB))
+        | ((pair == 0xE280) & of_2080)
+        | ((pair == 0xE380) & (third == 0x80))
+    )
+
+
 class Encoder:
-    """Ids as the tokenizers library gives them, remembering words.
+    """Ids as the tokenizers library gives them, remembering pieces.
 
     A byte-level pre-tokenizer without a normalizer starts a new piece at each blank, and
     around each line feed, that stands between two characters which aren't white space. The
     ids of such pieces are those of the whole. Texts with other white space, or other
-    tokenizers, go to the library whole.
+    tokenizers, go to the library whole. Pieces are remembered by 64-bit fingerprints; that two
+    of a worker's share one has a chance of one in a million.
     """
 
     def __init__(self, path: str):
@@ -79,10 +91,97 @@ class Encoder:
         self.cuts = '"type":"ByteLevel","add_prefix_space":false' in layout and self.model.normalizer is None
         ids = self.model.get_vocab(with_added_tokens=True).values()
         self.width = 2 if max(ids, default=0) < 1 << 16 else 4
-        self.code = "H" if self.width == 2 else "I"
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.letters = self._letters() if self.cuts else {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.prints = np.zeros(0, dtype=np.uint64)
+        # Of each piece, where its ids begin in the pool, and how many they are.
+        self.begins, self.sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.pool = np.zeros(0, dtype=f"<u{self.width}")
+        self.used = 0
+
+    def documents(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin and the last ends."""
+        safe = np.full(len(texts), self.cuts)
+        if len(data):
+            space = (data == 0x20) | (data == 0x0A)
+            edges = np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], offsets[1:][offsets[:-1] < offsets[1:]] - 1])
+            odd = [_other_space(data), np.flatnonzero(space[:-1] & space[1:]), edges[space[edges]]]
+            safe[np.searchsorted(offsets, np.concatenate(odd), "right") - 1] = False
+        cut = np.zeros(len(data), dtype=bool)
+        if len(data):
+            cut |= space
+            cut[1:] |= data[:-1] == 0x0A
+            cut[edges[: len(edges) // 2]] = True
+        starts = np.flatnonzero(cut)
+        text = np.searchsorted(offsets, starts, "right") - 1
+        ends = np.append(starts[1:], len(data))[safe[text]]
+        starts, text = starts[safe[text]], text[safe[text]]
+        begins, sizes = self._known(data, starts, ends)
+        counts = np.bincount(text, weights=sizes, minlength=len(texts)).astype(np.int64)
+        whole = {}
+        rest = np.flatnonzero(~safe)
+        for at in range(0, len(rest), 64):
+            some = rest[at : at + 64].tolist()
+            for i, ids in zip(some, self.encoded([texts[i].as_py() or "" for i in some]), strict=True):
+                whole[i] = ids
+                counts[i] = len(ids)
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found = self.pool[np.repeat(begins, sizes) + inside]
+        if not whole:
+            return found, bounds
+        out = np.zeros(bounds[-1], dtype=self.pool.dtype)
+        out[np.repeat(safe, counts)] = found
+        for i, ids in whole.items():
+            out[bounds[i] : bounds[i + 1]] = ids
+        return out, bounds
+
+    def _known(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the pool and number of the ids of each piece; those of new pieces are found first."""
+        prints, first, which = np.unique(
+            stretch_hashes(prefix_sums(data, BYTES), starts, ends), return_index=True, return_inverse=True
+        )
+        if len(self.prints) + len(prints) > MEMO_PIECES:
+            self._forget()
+        place = np.searchsorted(self.prints, prints)
+        new = np.ones(len(prints), dtype=bool)
+        inner = place < len(self.prints)
+        new[inner] = self.prints[place[inner]] != prints[inner]
+        if new.any():
+            raw, at = data.tobytes(), first[new]
+            pieces = [raw[b:e].decode() for b, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            self._remember(prints[new], place[new], self._pieces(pieces))
+            place = np.searchsorted(self.prints, prints)
+        place = place[which]
+        return self.begins[place], self.sizes[place]
+
+    def _remember(self, prints: np.ndarray, place: np.ndarray, found: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        total = int(sizes.sum())
+        if self.used + total > len(self.pool):
+            grown = np.zeros(2 * (self.used + total), dtype=self.pool.dtype)
+            grown[: self.used] = self.pool[: self.used]
+            self.pool = grown
+        self.pool[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(found), dtype=self.pool.dtype, count=total)
+        begins = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+        self.prints = np.insert(self.prints, place, prints)
+        self.begins = np.insert(self.begins, place, begins)
+        self.sizes = np.insert(self.sizes, place, sizes)
+
+    def _pieces(self, pieces: list[str]) -> list[list[int]]:
+        out = [self.word(p) if self.letters else None for p in pieces]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for at in range(0, len(rest), 2000):
+            some = rest[at : at + 2000]
+            for i, ids in zip(some, self.encoded([pieces[i] for i in some]), strict=True):
+                out[i] = ids
+        return out
+
+    def encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _letters(self) -> dict[int, str]:
         """How the pre-tokenizer spells letters and the blank before a word; none if letters
@@ -95,63 +194,18 @@ class Encoder:
         blank, rest = spell(" a")[0][0][:1], spell(" a")[0][0][1:]
         return out | {0x20: blank} if rest == "a" else {}
 
-    def packed(self, ids: list[int]) -> bytes:
-        out = array.array(self.code, ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
-
-    def word(self, piece: str) -> bytes | None:
+    def word(self, piece: str) -> list[int] | None:
         """The ids of a piece that is a word of plain letters, a blank before and a mark behind
         it allowed; None for others. Such a word is one pre-token, which goes to the library's
         model itself, and a mark at the end of a piece is another."""
         body = piece[1:] if piece[:1] == " " else piece
-        mark = ""
-        if body[-1:] in CLOSING and body:
-            body, mark = body[:-1], body[-1]
+        mark = body[-1:] if body[-1:] in CLOSING else ""
+        body = body[: len(body) - len(mark)]
         if not body.isalpha() or not (body.isascii() or max(body) < chr(OLD_LETTERS)):
             return None
         tokenize = self.model.model.tokenize
-        if mark:
-            bare = piece[:-1]
-            known = self.memo.get(bare) or self.older.get(bare)
-            if known is None:
-                known = self.memo[bare] = self.packed([t.id for t in tokenize(bare.translate(self.letters))])
-            return known + self.packed([t.id for t in tokenize(mark)])
-        return self.packed([t.id for t in tokenize(piece.translate(self.letters))])
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [self.packed(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def documents(self, texts: list[str]) -> list[bytes]:
-        """The serialized ids of each text."""
-        cut = [self._pieces(t) for t in texts]
-        wanted = {p for pieces in cut if pieces is not None for p in pieces}
-        if len(self.memo) + len(wanted) > MEMO_WORDS:
-            self.memo, self.older = {}, self.memo
-        new = []
-        for piece in wanted.difference(self.memo):
-            ids = self.older.get(piece) or (self.word(piece) if self.letters else None)
-            if ids is None:
-                new.append(piece)
-            else:
-                self.memo[piece] = ids
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            self.memo.update(zip(some, self.encoded(some), strict=True))
-        known = self.memo.__getitem__
-        return [
-            b"".join(map(known, pieces)) if pieces is not None else self.encoded([text])[0]
-            for text, pieces in zip(texts, cut, strict=True)
-        ]
-
-    def _pieces(self, text: str) -> list[str] | None:
-        if not text:
-            return []
-        if not self.cuts or text[0] in " \n" or text[-1] in " \n" or OTHER_SPACE.search(text) or any(d in text for d in DOUBLED):
-            return None
-        # A blank goes with the word after it, a line feed stands alone.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else None
+        found = tokenize(piece[: len(piece) - len(mark)].translate(self.letters))
+        return [t.id for t in (found + tokenize(mark) if mark else found)]
 
 
 def encoder(path: str) -> Encoder:
@@ -166,6 +220,11 @@ def encoder(path: str) -> Encoder:
     return getattr(kept, path)
 
 
+def forget_encoders() -> None:
+    """For tasks that need none: frees what encoding tasks have left in the worker."""
+    sys.modules.pop("token_files_of_worker", None)
+
+
 class Dictionary(NamedTuple):
     content: bytes
     sha256: str
@@ -197,9 +256,10 @@ def trained(docs: DataFrame, tokenizer: str) -> Dictionary:
     def serialized(batches):
         own = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                ids = own.documents(batch.column("text").slice(at, ROWS).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array([i[: SAMPLE_IDS * own.width] for i in ids], pa.binary())], ["ids"])
+            for part, data, offsets in runs(batch, "text"):
+                ids, bounds = own.documents(part.column("text"), data, offsets)
+                cut = [ids[a : min(b, a + SAMPLE_IDS)].tobytes() for a, b in itertools.pairwise(bounds.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary())], ["ids"])
 
     samples = [bytes(r["ids"]) for r in sample.mapInArrow(serialized, "ids binary").collect()]
     content = b""
@@ -223,13 +283,12 @@ def records(docs: DataFrame, tokenizer: str, dictionary: Dictionary, end_id: int
 
     def pack(batches):
         own, compressor = encoder(tokenizer), dictionary.compressor()
-        end = own.packed([end_id])
+        end = np.array([end_id], dtype=f"<u{own.width}").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                out = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), own.documents(part.column("text").to_pylist()), strict=True):
-                    out.append(record(doc_id, compressor.compress(ids + end), len(ids) // own.width + 1))
+            for part, data, offsets in runs(batch, "text"):
+                ids, bounds = own.documents(part.column("text"), data, offsets)
+                spans = zip(part.column("doc_id").to_pylist(), *zip(*itertools.pairwise(bounds.tolist()), strict=True), strict=True)
+                out = [record(doc_id, compressor.compress(ids[a:b].tobytes() + end), b - a + 1) for doc_id, a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tie"), pa.array(map(len, out), pa.int32()), pa.array(out, pa.binary())],
                     ["doc_id", "tie", "size", "record"],
@@ -309,6 +368,7 @@ class TokenFiles:
 
     def _indexed(self) -> DataFrame:
         def index(batches):
+            forget_encoders()
             for batch in batches:
                 for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
                     found = list(parsed(content.as_buffer()))
@@ -330,6 +390,7 @@ class TokenFiles:
         dictionary, starts = self.dictionary(), self._starts()
 
         def decode(batches):
+            forget_encoders()
             decompressor = dictionary.decompressor()
             for batch in batches:
                 for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
