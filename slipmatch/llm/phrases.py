@@ -3,14 +3,16 @@
 1. A share of the documents is mined for phrases that occur at least ``SAMPLE_LEAST`` times
    in it. They are the proposal; its negative border are the phrases that are not proposed
    but whose parts of one word less both are, and all single words.
-2. A pass over all documents counts proposal and border exactly.
+2. A pass over all documents counts proposal and border.
 3. A border phrase that turns out frequent is a failure of the sample. Failures join the
    proposal, and another pass counts what that adds to the border, until no pass fails. A
    frequent phrase has only frequent parts, so then every frequent phrase has been counted.
+4. These passes count 64-bit fingerprints, of which phrases may share one, so a count is never
+   too low. A last pass counts the texts of the phrases found frequent; those counts are exact,
+   but for two phrases that share a fingerprint within the same megabyte of text.
 
-The proposal is a bitmap for each length, by 64-bit fingerprints, of a size that follows the
-sample's phrases up to 16 MB. Phrases that get in by chance are counted too, which costs time
-and changes nothing; counts are kept by the phrases' texts.
+Which phrases a pass looks for goes to the tasks as bitmaps of a size that follows the
+phrases, up to 16 MB. Phrases that get in by chance are counted too and change nothing.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slipmatch.llm.tables import runs
 from slipmatch.llm.words import LOWERED, U, mix, prefix_sums, stretch_hashes
-from slipmatch.sources.shared import remove, write_aside
+from slipmatch.sources.shared import remove, write_aside, written
 
 # One document in so many is in the sample, and a phrase is proposed from so many occurrences in it on.
 SAMPLE_EVERY, SAMPLE_LEAST = 4, 2
@@ -35,9 +37,9 @@ CHUNK_BITS = 20
 SALTS = 256
 NO_LANG = "und"
 
-STEP = U(0xD6E8FEB86659FD93)
+STEP, LENGTHS = U(0xD6E8FEB86659FD93), U(7)
 WORD, BLANK, BREAK = 0, 1, 2
-COUNTS = "lang string, words int, phrase binary, print long, proposed boolean, n long"
+COUNTS = "lang string, words int, phrase binary, n long"
 
 
 def _kinds() -> np.ndarray:
@@ -80,7 +82,8 @@ class Phrases:
         of_text = np.array([prints[lang] for lang in langs], dtype=np.uint64)[self.text]
         word = stretch_hashes(prefix_sums(data, LOWERED), self.starts, self.ends)
         n = len(word)
-        # at[k]: first words of the phrases of k words; prints[k]: their fingerprints, by first word.
+        # at[k]: first words of the phrases of k words; prints[k]: their fingerprints, by first
+        # word. The lowest three bits of a fingerprint are the number of words.
         self.at: dict[int, np.ndarray] = {}
         self.prints: dict[int, np.ndarray] = {}
         rolled, whole = of_text, np.ones(n, dtype=bool)
@@ -93,7 +96,7 @@ class Phrases:
             following = np.zeros(n, dtype=np.uint64)
             following[: n - shift] = word[shift:]
             rolled = mix(rolled * STEP + following)
-            self.at[k], self.prints[k] = np.flatnonzero(whole), rolled
+            self.at[k], self.prints[k] = np.flatnonzero(whole), (rolled & ~LENGTHS) | U(k)
 
     def phrase(self, at: np.ndarray, k: int) -> list[bytes]:
         """Phrases lower-cased, with one blank between words."""
@@ -111,30 +114,29 @@ class Phrases:
         ]
 
 
-class Proposal:
-    """For each length a bitmap of the fingerprints proposed."""
+def bits_for(phrases: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (SPARSE * phrases).bit_length()))
 
-    def __init__(self, bitmaps: dict[int, np.ndarray]):
-        self.bitmaps = bitmaps
 
-    def has(self, k: int, prints: np.ndarray) -> np.ndarray:
-        place = prints >> U(64 - (len(self.bitmaps[k]) * 8 - 1).bit_length())
-        return (self.bitmaps[k][(place >> U(3)).astype(np.int64)] >> (place & U(7)).astype(np.uint8)) & np.uint8(1) > 0
+class Proposal(NamedTuple):
+    """A bitmap of the fingerprints proposed."""
 
-    def joined(self, other: Proposal) -> Proposal:
-        return Proposal({k: own | other.bitmaps[k] for k, own in self.bitmaps.items()})
+    bitmap: np.ndarray
 
+    def has(self, prints: np.ndarray) -> np.ndarray:
+        place = prints >> U(64 - (len(self.bitmap) * 8 - 1).bit_length())
+        return (self.bitmap[(place >> U(3)).astype(np.int64)] >> (place & U(7)).astype(np.uint8)) & np.uint8(1) > 0
 
-def bits_for(phrases: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, (SPARSE * phrases).bit_length()))
+    def joined(self, other: Proposal) -> Proposal:
+        return Proposal(self.bitmap | other.bitmap)
 
 
-def proposal(prints: DataFrame, most: int, bits: int) -> Proposal:
-    """From rows ``words``, ``print``: bits set word by word, then packed; the driver sees the bitmaps, whatever the rows."""
+def proposal(prints: DataFrame, bits: int) -> Proposal:
+    """From rows ``print``: bits set word by word, then packed; the driver sees the bitmap, whatever the rows."""
     words = (
-        prints.select("words", F.shiftrightunsigned("print", 64 - bits).alias("place"))
-        .selectExpr("words", "int(shiftright(place, 5)) AS word", "shiftleft(1L, int(place % 32)) AS bit")
-        .groupBy("words", "word")
+        prints.select(F.shiftrightunsigned("print", 64 - bits).alias("place"))
+        .selectExpr("int(shiftright(place, 5)) AS word", "shiftleft(1L, int(place % 32)) AS bit")
+        .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .withColumn("chunk", F.shiftright("word", CHUNK_BITS - 5))
     )
@@ -142,13 +144,12 @@ def proposal(prints: DataFrame, most: int, bits: int) -> Proposal:
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         chunk = np.zeros(1 << (CHUNK_BITS - 5), dtype="<u4")
         chunk[frame["word"].to_numpy() % len(chunk)] = frame["bits"].to_numpy().astype(np.uint32)
-        return pd.DataFrame({"words": [frame["words"].iloc[0]], "chunk": [frame["chunk"].iloc[0]], "content": [chunk.tobytes()]})
+        return pd.DataFrame({"chunk": [frame["chunk"].iloc[0]], "content": [chunk.tobytes()]})
 
-    bitmaps = {k: np.zeros(1 << (bits - 3), dtype=np.uint8) for k in range(1, most)}
-    size = 1 << (CHUNK_BITS - 3)
-    for row in words.groupBy("words", "chunk").applyInPandas(pack, "words int, chunk int, content binary").toLocalIterator():
-        bitmaps[row["words"]][row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["content"], dtype=np.uint8)
-    return Proposal(bitmaps)
+    bitmap, size = np.zeros(1 << (bits - 3), dtype=np.uint8), 1 << (CHUNK_BITS - 3)
+    for row in words.groupBy("chunk").applyInPandas(pack, "chunk int, content binary").toLocalIterator():
+        bitmap[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["content"], dtype=np.uint8)
+    return Proposal(bitmap)
 
 
 def _parsed(batches, most: int):
@@ -158,19 +159,24 @@ def _parsed(batches, most: int):
             yield langs, Phrases(data, offsets, langs, most)
 
 
+def _counts(prints: list[np.ndarray]) -> pa.RecordBatch:
+    some, n = np.unique(np.concatenate(prints), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(n, pa.int64())], ["print", "n"])
+
+
+def _frequent(counted: DataFrame, least: int) -> DataFrame:
+    return counted.groupBy("print").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("print")
+
+
 def sampled(docs: DataFrame, most: int) -> DataFrame:
-    """``words``, ``print`` of the phrases of fewer than ``most`` words that the sample proposes."""
+    """``print`` of the phrases of fewer than ``most`` words that the sample proposes."""
 
     def mine(batches):
         for _, found in _parsed(batches, most - 1):
-            for k in range(1, most):
-                prints, n = np.unique(found.prints[k][found.at[k]], return_counts=True)
-                columns = [pa.array(np.full(len(n), k, dtype=np.int32)), pa.array(prints.view(np.int64)), pa.array(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["words", "print", "n"])
+            yield _counts([found.prints[k][found.at[k]] for k in range(1, most)])
 
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_EVERY)) == 0).select("lang", "text")
-    counted = sample.mapInArrow(mine, "words int, print long, n long").groupBy("words", "print").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= SAMPLE_LEAST).select("words", "print")
+    return _frequent(sample.mapInArrow(mine, "print long, n long"), SAMPLE_LEAST)
 
 
 class Pass(NamedTuple):
@@ -184,54 +190,34 @@ class Pass(NamedTuple):
         if k == 1:
             return at if self.before is None else at[:0]
         left, right = found.prints[k - 1][at], found.prints[k - 1][at + 1]
-        chosen = self.proposed.has(k - 1, left) & self.proposed.has(k - 1, right)
+        chosen = self.proposed.has(left) & self.proposed.has(right)
         if self.before is not None:
-            chosen &= ~(self.before.has(k - 1, left) & self.before.has(k - 1, right))
+            chosen &= ~(self.before.has(left) & self.before.has(right))
         return at[chosen]
 
 
 def counted(docs: DataFrame, step: Pass, most: int, least: int) -> DataFrame:
-    """lang, words, phrase, n, print and proposed of the phrases this pass counts, from ``least``
-    occurrences on; on the first pass also the words of each language, as ``words`` 0."""
+    """``print`` of the phrases this pass counts that occur ``least`` times or more."""
     held = docs.sparkSession.sparkContext.broadcast(step)
 
     def count(batches):
-        step = held.value
-        for langs, found in _parsed(batches, most):
-            lang_names = np.array(langs, dtype=object)
-            if step.before is None:
-                sizes = np.bincount(found.text, minlength=len(langs))
-                for lang in sorted(set(langs)):
-                    total = int(sizes[lang_names == lang].sum())
-                    yield _rows([lang], 0, [b""], np.zeros(1, dtype=np.uint64), np.ones(1, dtype=bool), np.array([total]))
-            for k in range(1, most + 1):
-                at = step.wanted(found, k)
-                prints, place, n = np.unique(found.prints[k][at], return_index=True, return_counts=True)
-                if not len(prints):
-                    continue
-                at = at[place]
-                proposed = step.proposed.has(k, prints) if k < most else np.ones(len(prints), dtype=bool)
-                yield _rows(lang_names[found.text[at]], k, found.phrase(at, k), prints, proposed, n)
+        for _, found in _parsed(batches, most):
+            yield _counts([found.prints[k][held.value.wanted(found, k)] for k in range(1, most + 1)])
 
-    summed = (
-        docs.select("lang", "text")
-        .mapInArrow(count, COUNTS)
-        .groupBy("lang", "words", F.col("phrase").cast("string").alias("phrase"))
-        .agg(F.sum("n").alias("n"), F.max("print").alias("print"), F.bool_and("proposed").alias("proposed"))
-    )
-    return summed.where((F.col("words") == 0) | (F.col("n") >= least))
+    return _frequent(docs.select("lang", "text").mapInArrow(count, "print long, n long"), least)
 
 
-def _rows(langs, k: int, phrases: list[bytes], prints: np.ndarray, proposed: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    columns = [
-        pa.array(langs, pa.string()),
-        pa.array(np.full(len(n), k, dtype=np.int32)),
-        pa.array(phrases, pa.binary()),
-        pa.array(prints.view(np.int64)),
-        pa.array(proposed),
-        pa.array(n, pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "print", "proposed", "n"])
+def failures(frequent: DataFrame, step: Pass, most: int) -> DataFrame:
+    """Frequent phrases of fewer than ``most`` words that the pass did not have proposed."""
+    held = frequent.sparkSession.sparkContext.broadcast(step.proposed)
+
+    def unproposed(batches):
+        for batch in batches:
+            prints = batch.column("print").to_numpy(zero_copy_only=False).view(np.uint64)
+            failed = prints[((prints & LENGTHS) < U(most)) & ~held.value.has(prints)]
+            yield pa.RecordBatch.from_arrays([pa.array(failed.view(np.int64))], ["print"])
+
+    return frequent.mapInArrow(unproposed, "print long")
 
 
 def mined(docs: DataFrame, most: int, least: int) -> DataFrame:
@@ -240,18 +226,52 @@ def mined(docs: DataFrame, most: int, least: int) -> DataFrame:
     spark = docs.sparkSession
     sample = write_aside(sampled(docs, most), "sample-phrases")
     bits = bits_for(sample.read(spark).count())
-    step, passes = Pass(proposal(sample.read(spark), most, bits), None), []
-    remove(spark, sample.path)
+    step, passes = Pass(proposal(sample.read(spark), bits), None), [sample]
+    frequent: DataFrame | None = None
     while True:
-        passes.append(write_aside(counted(docs, step, most, least), "phrase-counts"))
-        failed = passes[-1].read(spark).where(~F.col("proposed") & F.col("words").between(1, most - 1))
-        if failed.isEmpty():
+        passes.append(write_aside(counted(docs, step, most, least), "frequent-phrases"))
+        own = passes[-1].read(spark)
+        frequent = own if frequent is None else frequent.unionByName(own)
+        failed = write_aside(failures(own, step, most), "failed-phrases")
+        passes.append(failed)
+        if failed.read(spark).isEmpty():
             break
-        step = Pass(step.proposed.joined(proposal(failed.select("words", "print"), most, bits)), step.proposed)
-    out = passes[0].read(spark)
-    for further in passes[1:]:
-        out = out.unionByName(further.read(spark))
-    return out.select("lang", "words", "phrase", "n")
+        step = Pass(step.proposed.joined(proposal(failed.read(spark), bits)), step.proposed)
+    found = written(_texts(docs, proposal(frequent, bits_for(frequent.count())), most, least), "phrase-counts")
+    for done in passes:
+        remove(spark, done.path)
+    return found
+
+
+def _texts(docs: DataFrame, frequent: Proposal, most: int, least: int) -> DataFrame:
+    """Exact counts, by their texts, of the phrases whose fingerprints are frequent."""
+    held = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def count(batches):
+        for langs, found in _parsed(batches, most):
+            names = np.array(langs, dtype=object)
+            sizes = np.bincount(found.text, minlength=len(langs))
+            for lang in sorted(set(langs)):
+                yield _rows([lang], 0, [b""], [int(sizes[names == lang].sum())])
+            for k in range(1, most + 1):
+                at = found.at[k][held.value.has(found.prints[k][found.at[k]])]
+                if len(at):
+                    _, place, n = np.unique(found.prints[k][at], return_index=True, return_counts=True)
+                    at = at[place]
+                    yield _rows(names[found.text[at]], k, found.phrase(at, k), n)
+
+    summed = (
+        docs.select("lang", "text")
+        .mapInArrow(count, COUNTS)
+        .groupBy("lang", "words", F.col("phrase").cast("string").alias("phrase"))
+        .agg(F.sum("n").alias("n"))
+    )
+    return summed.where((F.col("words") == 0) | (F.col("n") >= least))
+
+
+def _rows(langs, k: int, phrases: list[bytes], n) -> pa.RecordBatch:
+    columns = [pa.array(langs, pa.string()), pa.array(np.full(len(n), k, dtype=np.int32)), pa.array(phrases, pa.binary()), pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "n"])
 
 
 def _big(count: str) -> Column:
