@@ -7,9 +7,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str = "slipmatch", cores: int | str = "*", partitions: int = 8) -> SparkSession:
-    """A session for tests and benches; on a cluster the caller brings its own."""
-    return (
+# Folders made for local applications that name none.
+_made: dict[str, str] = {}
+
+
+def local_session(
+    name: str = "slipmatch", cores: int | str = "*", partitions: int = 8, folder: str | None = None
+) -> SparkSession:
+    """A session for tests and benches; on a cluster the caller brings its own.
+
+    ``folder`` is where tables that cut lineage are written.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -18,17 +27,21 @@ def local_session(name: str = "slipmatch", cores: int | str = "*", partitions: i
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if folder is not None:
+        builder = builder.config("spark.checkpoint.dir", folder)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one in local mode only."""
+    """The folder the session names for checkpoints; a temporary one in local mode only,
+    where there is one machine, and the same for the whole application."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="slipmatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _made:
+        _made[context.applicationId] = tempfile.mkdtemp(prefix="slipmatch-")
+    return _made[context.applicationId]

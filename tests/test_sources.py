@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from bench_of_slips import DAY, plain
 
@@ -83,3 +88,29 @@ def test_closing_day_compares_numbers(spark):
     rows = spark.createDataFrame([(n,) for n in numbers], "num_ficha_protheus string")
     found = closing_day(rows, dt.date(2025, 5, 5)).collect()
     assert [r[0] for r in found] == numbers[:3]
+
+
+def test_a_plain_local_session_finds_a_folder(tmp_path):
+    """Nothing names a folder: neither the session nor the machine's defaults."""
+    code = """
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+import __spark_entry__ as contract
+from slipmatch.session import shared_dir
+assert contract.queries()["scan_tickets"](spark, "/root/testdata/sf0.001").count() > 0
+assert shared_dir(spark) == shared_dir(spark)
+"""
+    root = Path(__file__).resolve().parent.parent
+    env = {**os.environ, "PYTHONPATH": str(root), "SPARK_CONF_DIR": str(tmp_path)}
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=300, env=env)
+
+
+def test_a_local_session_takes_a_folder(tmp_path):
+    code = f"""
+from slipmatch.session import local_session, shared_dir
+spark = local_session("own", 1, folder={str(tmp_path / "own")!r})
+assert shared_dir(spark) == {str(tmp_path / "own")!r}
+"""
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=300, env={**os.environ, "PYTHONPATH": str(root)})
