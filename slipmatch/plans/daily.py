@@ -69,12 +69,16 @@ class ClosingDay:
         return outcome
 
     def export(self, folder: str, day: Day = None, files: int | None = None) -> None:
-        """Both reports of the closing day before ``day``, below ``folder``."""
+        """Both reports of the closing day before ``day``, below ``folder``: a file of the
+        report's name each, or with ``files`` a folder of so many part files at most."""
         day = as_date(day)
         for table, name in ((VALID_TABLE, VALID_REPORT), (INCONGRUENT_TABLE, INCONGRUENT_REPORT)):
             rows = self.store.read_day(table, day - dt.timedelta(days=1))
             if rows is not None:
-                export.write_report(rows, f"{folder}/{name}", files)
+                if files is None:
+                    export.write_named_report(rows, f"{folder}/{name}.csv")
+                else:
+                    export.write_report(rows, f"{folder}/{name}", files)
 
     def _sales(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.tables.sales, self.tables.sale_types, self.tables.sale_points
