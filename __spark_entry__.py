@@ -21,7 +21,7 @@ from slipmatch.functions.dates import sale_day, to_ymd  # noqa: E402
 from slipmatch.functions.text import contains, without_semicolons  # noqa: E402
 from slipmatch.operators import rules  # noqa: E402
 from slipmatch.operators.events import extra_events  # noqa: E402
-from slipmatch.operators.export import write_report  # noqa: E402
+from slipmatch.operators.export import write_named_report  # noqa: E402
 from slipmatch.operators.tickets import item_values, ticket_details, ticket_summary  # noqa: E402
 from slipmatch.operators.totals import both_totals, cancelled_totals, sold_totals  # noqa: E402
 from slipmatch.operators.upsert import CHANGE, INSERTED, counts, upsert  # noqa: E402
@@ -33,12 +33,10 @@ from slipmatch.sources.query import first_row, run_query  # noqa: E402
 from slipmatch.sources.shared import own_folder  # noqa: E402
 from slipmatch.sources.tables import Tables  # noqa: E402
 
-try:  # the one place that lets the text operators be absent
+try:  # the one place that lets the text operators, or what they need, be absent
     import corpus_pipeline
     from slipmatch.llm import queries as text_queries, sql as text_sql
-except ModuleNotFoundError as absent:
-    if absent.name not in ("corpus_pipeline", "slipmatch.llm"):
-        raise
+except ImportError:
     corpus_pipeline = text_queries = text_sql = None
 
 SMOKE = "/root/testdata/sf0.001"
@@ -240,7 +238,7 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.valid_tickets(plan.settled(_summary(retail.load(spark, sf_dir))))
+    return plan.valid_tickets(plan.settled(plan.empty_or_incomplete(_summary(retail.load(spark, sf_dir)))))
 
 
 def reconcile_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,10 +282,10 @@ def export_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_incongruent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By way of the report itself: written, and read as whoever gets it reads it."""
+    """By way of the report itself: one named file, read as whoever gets it reads it."""
     rows = _stored(spark, plan.incongruent_tickets(_verdicts(spark, sf_dir)))
-    path = own_folder(spark, "report")
-    write_report(rows, path)
+    path = own_folder(spark, "report") + ".csv"
+    write_named_report(rows, path)
     layout = T.StructType([T.StructField(f.name, T.StringType()) for f in rows.schema.fields])
     found = spark.read.schema(layout).options(sep=";", header=True, quote='"', escape='"').csv(path)
     return shown(found.withColumn(STAMP, F.to_timestamp(STAMP)))

@@ -6,6 +6,8 @@ row stays one row and needs no identifier; equal ticket rows get equal verdicts.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slipmatch.functions.dates import sale_day
@@ -30,6 +32,7 @@ HAS_POS = "A ficha contém Vendas POS."
 HAS_REQUISITIONS = "A ficha contém requisições."
 NOTHING_TO_DECLARE = "Nada a declarar."
 
+NEVER = dt.date(9999, 12, 31)
 ITEM_KEY = ["emission", "agency_code", "associated_company"]
 EVENT_KEY = ["agency_name", *ITEM_KEY]
 EVENT = ["bill_description", "description", "nature", "event_company", "total", "searched"]
@@ -71,18 +74,21 @@ def with_items(tickets: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def with_receipt_rule(tickets: DataFrame, totals: DataFrame) -> DataFrame:
-    """``receipt_ok``: some company's sold total of that agency and day equals the receipt."""
-    known = known_amounts(totals, SOLD)
+def with_receipt_rule(tickets: DataFrame, totals: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``receipt_ok``: some company's sold total of that agency and day equals the receipt.
+
+    ``known``: the amounts of the totals, if other rules look them up too.
+    """
+    known = known_amounts(totals, SOLD) if known is None else known
     return _looked_up(tickets, known, F.col("receipt")).select(
         *tickets.columns, has_mark(SOLD).alias("receipt_ok")
     )
 
 
-def with_cancel_rule(tickets: DataFrame, totals: DataFrame) -> DataFrame:
+def with_cancel_rule(tickets: DataFrame, totals: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``nothing_cancelled`` on both sides, or ``cancel_ok`` by an equal cancelled total."""
     nothing = (F.col("declared_cancelled") == 0) & ~has_mark(SOME_CANCELLED)
-    known = known_amounts(totals, CANCELLED_TOTAL | SOME_CANCELLED)
+    known = known_amounts(totals, CANCELLED_TOTAL | SOME_CANCELLED) if known is None else known
     return _looked_up(tickets, known, F.col("declared_cancelled")).select(
         *tickets.columns,
         nothing.alias("nothing_cancelled"),
@@ -109,8 +115,7 @@ def event_checks(
     searched = F.when(is_pattern(text), text) if regex else text
     sold = events.withColumnRenamed("associated_company", "event_company").withColumn("searched", searched)
     due = (
-        tickets.select(*EVENT_KEY, "sale_date")
-        .distinct()
+        event_groups(tickets)
         .join(sold, ["agency_name", "sale_date"])
         .select(*EVENT_KEY, *EVENT)
     )
@@ -124,6 +129,16 @@ def event_checks(
     )
 
 
+def event_groups(tickets: DataFrame) -> DataFrame:
+    """Ticket groups and the day their events are of.
+
+    The keys are complete in open tickets. Saying so keeps Spark from asking it of the tickets'
+    scan, which this branch of a plan could then not share with the others.
+    """
+    keys = [F.coalesce(c, F.lit("")).alias(c) for c in EVENT_KEY]
+    return tickets.select(*keys, F.coalesce("sale_date", F.lit(NEVER)).alias("sale_date")).distinct()
+
+
 def event_message() -> Column:
     """What is wrong with an event, NULL if nothing is; values are compared unrounded."""
     item, event = F.col("item"), F.col("description")

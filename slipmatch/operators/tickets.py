@@ -33,8 +33,21 @@ def ticket_summary(
     An agency code used by two companies yields a row for each. Without bounds, tickets whose
     emission is no date are among them, with a NULL ``emission_date``.
     """
-    live = tickets.where(is_live("D_E_L_E_T_") & emitted_between(F.col("G6X_DTREME"), first, last)).select(
+    return sent_tickets(tickets.where(is_live("D_E_L_E_T_")), agencies, first, last).select(*SUMMARY)
+
+
+def sent_tickets(
+    tickets: DataFrame, agencies: DataFrame, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Tickets emitted in [first, last], deleted ones too, with each agency row of their code.
+
+    Besides the summary, ``live`` and the keys that items are found by: ``code``, ``number``
+    and ``company``, as the databases compare them.
+    """
+    sent = tickets.where(emitted_between(F.col("G6X_DTREME"), first, last)).select(
         key_text("G6X_AGENCI").alias("code"),
+        key_text("G6X_NUMFCH").alias("number"),
+        is_live("D_E_L_E_T_").alias("live"),
         F.col("G6X_NUMFCH").alias("ticket_number"),
         F.col("G6X_VLRREI").alias("receipt"),
         F.col("G6X_VLRDES").alias("expenses"),
@@ -45,11 +58,12 @@ def ticket_summary(
     # Names are stripped here, once per agency and not once per ticket.
     named = agencies.select(
         key_text("GI6_CODIGO").alias("code"),
+        key_text("GI6_FILIAL").alias("company"),
         strip("GI6_FILIAL").alias("associated_company"),
         strip("GI6_DESCRI").alias("agency_name"),
         strip("GI6_CODIGO").alias("agency_code"),
     )
-    return live.join(named, "code").select(*SUMMARY)
+    return sent.join(named, "code")
 
 
 def item_kind(code: Column | str) -> Column:
@@ -122,10 +136,18 @@ def item_values(
     companies = agencies.select(
         key_text("GI6_CODIGO").alias("agency_code"), key_text("GI6_FILIAL").alias("associated_company")
     ).distinct()
-    named_items = _live_items(items).where(F.col("transaction_description").isNotNull())
+    named = _live_items(items).join(slips, ["agency_code", "ticket_number"])
+    return _lowest(named.join(companies.where(F.col("associated_company").isNotNull()), "agency_code"))
+
+
+def slip_values(slips: DataFrame, items: DataFrame) -> DataFrame:
+    """The same for distinct ``slips``: emission, agency_code, associated_company, ticket_number."""
+    return _lowest(_live_items(items).join(slips, ["agency_code", "ticket_number"]))
+
+
+def _lowest(named: DataFrame) -> DataFrame:
     return (
-        named_items.join(slips, ["agency_code", "ticket_number"])
-        .join(companies.where(F.col("associated_company").isNotNull()), "agency_code")
+        named.where(F.col("transaction_description").isNotNull())
         .groupBy("emission", "agency_code", "associated_company", "transaction_description")
         .agg(
             F.min("transaction_value").alias("lowest"),

@@ -21,6 +21,7 @@ MEASURES = {
 CANCELLED = "C"  # fixed value of indstatusboleto
 
 SOLD, CANCELLED_TOTAL, SOME_CANCELLED = 1, 2, 4
+ALL_MARKS = SOLD | CANCELLED_TOTAL | SOME_CANCELLED
 
 
 def sold_totals(
@@ -66,14 +67,14 @@ def both_totals(
     return _rolled_up(sales, sale_types, sale_points, first, last, F.col("indstatusboleto").isNotNull(), parts)
 
 
-def known_amounts(totals: DataFrame, wanted: int) -> DataFrame:
+def known_amounts(totals: DataFrame, wanted: int = ALL_MARKS) -> DataFrame:
     """Amounts the sales side knows, per agency and day, to be looked up by equality.
 
     ``marks`` adds up what an amount is, as far as ``wanted``: a company's sold total, a
     company's cancelled total, and, at amount 0 only, a sign that something was cancelled
     at all. Looking amounts up spares both a list of companies per agency and a join of
-    every ticket with every company. The marks are chosen after all have been listed, so
-    that two choices still need the same sums, out of one scan.
+    every ticket with every company. Look-ups that are made together take all marks, so
+    that they share one shuffle of the amounts.
     """
     sold, cancelled = F.col("sold_rows") > 0, F.col("cancelled_rows") > 0
     entries = F.array(

@@ -58,9 +58,25 @@ def test_each_fact_is_scanned_once(spark, request, large):
     if large:
         request.getfixturevalue("no_broadcast")
     text = final_plan_of(reconcile_tables(retail.load(spark, FOLDER)))
-    for column in ("preciopagado", "GZG_VALOR", "importe", "indreimpresion", "feccorte"):
+    for column in ("preciopagado", "GZG_VALOR", "importe", "indreimpresion", "feccorte", "G6X_AGENCI", "GI6_CODIGO"):
         want = 2 if column == "feccorte" else 1
         assert scans(text, column) == want, column
+    if not large:
+        assert len(re.findall(r"Exchange hashpartitioning", text)) - len(re.findall("ReusedExchange", text)) < 15
+
+
+def test_the_target_of_an_upsert_is_read_once(spark, no_broadcast, tmp_path):
+    from slipmatch.operators import upsert as u
+
+    layout = "nome string, ficha string, extra string, data_processamento timestamp"
+    spark.createDataFrame([("A", "1", "x", None)], layout).write.parquet(str(tmp_path / "target"))
+    target = spark.read.schema(layout).parquet(str(tmp_path / "target"))
+    source = spark.createDataFrame([("A", "1", "y"), ("B", "2", "y")], "nome string, ficha string, extra string")
+    prepared = u.prepared(target, u.stamped(source), include=["nome", "ficha"])
+    assert plan_of(u.updated(*prepared)).count("Location: InMemoryFileIndex") == 1
+    result = u.upsert(target, source, include=["nome", "ficha"])
+    assert str(tmp_path / "target") not in formatted_plan_of(result)
+    assert sorted(r[u.CHANGE] for r in result.collect()) == [u.INSERTED, u.KEPT]
 
 
 def test_event_search_is_an_equi_join(spark, no_broadcast):
