@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from slipmatch.llm.tables import runs
+from slipmatch.llm.tables import batch_rows, runs
 from slipmatch.llm.words import LOWERED, U, mix, prefix_sums, stretch_hashes
 from slipmatch.sources.shared import remove, write_aside, written
 
@@ -35,6 +35,8 @@ SAMPLE_EVERY, SAMPLE_LEAST = 4, 2
 LEAST_BITS, MOST_BITS, SPARSE = 20, 27, 16
 CHUNK_BITS = 20
 SALTS = 256
+# Rows of an Arrow batch.
+BATCH_ROWS = 1000
 NO_LANG = "und"
 
 STEP, LENGTHS = U(0xD6E8FEB86659FD93), U(7)
@@ -332,7 +334,8 @@ def collocations(
     no task sorts all its phrases. Other columns are left out. The bound ``top`` is the feature.
     """
     texts = docs.select("doc_id", F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    found = mined(texts, most_words, least)
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        found = mined(texts, most_words, least)
     candidates = scored(found, least_words)
     kept = candidates.join(_covered(candidates, least_words, covered), ["lang", "phrase"], "left_anti")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

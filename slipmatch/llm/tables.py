@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,18 @@ def to_utf8(column: str):
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows at most for the jobs run inside, so that whole texts take less memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def runs(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch with the bytes of a string column and the offset of each row in them."""
     whole = batch.column(column)
