@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, functions as F
 
-from slipmatch.sources.shared import written
+from slipmatch.llm.tables import Asides
+from slipmatch.sources.shared import Written, remove, write_aside
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,17 +17,22 @@ def components(edges: DataFrame) -> DataFrame:
     choice of its choice; edges then connect choices, and those within one choice are done.
     Hot nodes are no trouble: minima are taken map-side, and joins can be split.
     """
-    label: DataFrame | None = None
-    while True:
+    spark, asides = edges.sparkSession, Asides(edges.sparkSession)
+    label: Written | None = None
+    for turn in itertools.count():
         ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        chosen = ends.groupBy("a").agg(F.min("b").alias("least")).select(
+        least = ends.groupBy("a").agg(F.min("b").alias("least")).select(
             F.col("a").alias("node"), F.least("a", "least").alias("component")
         )
-        chosen = written(_jumped(_jumped(written(chosen, "choices"))), "choices")
-        label = chosen if label is None else written(_through(label, chosen), "labels")
-        edges = written(_contracted(edges, chosen), "contracted")
+        chosen = asides.write(_jumped(_jumped(asides.write(least, "least"))), "choices")
+        old, label = label, write_aside(chosen if label is None else _through(label.read(spark), chosen), "labels")
+        edges = asides.write(_contracted(edges, chosen), f"contracted-{turn}")
+        asides.drop("least", "choices", *([f"contracted-{turn - 1}"] if turn else []))
+        if old is not None:
+            remove(spark, old.path)
         if edges.isEmpty():
-            return label
+            asides.drop(f"contracted-{turn}")
+            return label.read(spark)
 
 
 def _jumped(chosen: DataFrame) -> DataFrame:

@@ -212,5 +212,5 @@ def _found(found, items: Items, indexes: list[Index], of_item: list[np.ndarray],
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no item is found. Rows without an id stay unless one of them leaks."""
-    hit = leaks(docs, benchmark).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = leaks(docs, benchmark).select("doc_id").distinct().alias("hit")
+    return docs.alias("all").join(hit, F.col("all.doc_id").cast("long").eqNullSafe(F.col("hit.doc_id")), "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slipmatch.llm.components import components
-from slipmatch.llm.tables import runs
+from slipmatch.llm.tables import Asides, runs
 from slipmatch.llm.words import U, mix, powers, shingles, words
 from slipmatch.sources.shared import written
 
@@ -120,7 +120,8 @@ def _first_shared(a: str, b: str) -> Column:
 def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose full sets are similar enough."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(ends.select("node.*"), "pair-ends")
+    asides = Asides(docs.sparkSession)
+    wanted = asides.write(ends.select("node.*"), "pair-ends")
 
     def sets(batches):
         for batch in batches:
@@ -138,7 +139,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     )
     # Other texts under the same id have other digests.
     members = members.dropDuplicates(["d0", "d1"]).join(wanted.select("d0", "d1"), ["d0", "d1"], "left_semi")
-    members = written(members, "shingle-sets")
+    members = asides.write(members, "shingle-sets")
 
     def compare(batches):
         for batch in batches:
@@ -155,7 +156,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     for end in ("a", "b"):
         of_end = members.select(F.struct("d0", "d1").alias(f"set_{end}"), F.col("members").alias(f"of_{end}"))
         pairs = pairs.join(of_end, F.struct(f"{end}.d0", f"{end}.d1") == F.col(f"set_{end}"))
-    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, f"a {NODE}, b {NODE}")
+    links = written(pairs.select("a", "b", "of_a", "of_b").mapInArrow(compare, f"a {NODE}, b {NODE}"), "links")
+    asides.drop("pair-ends", "shingle-sets")
+    return links
 
 
 def _of_one_id(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -176,6 +179,7 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     a row without an id stands for nothing, so its component is its links' smallest id, or
     null. Further columns are left out.
     """
+    asides = Asides(docs.sparkSession)
     signed = written(signatures(docs), "signatures")
     limit = sketch_limit(percent)
     firsts = [F.first(c).alias(c) for c in (*BAND_COLUMNS, *SKETCH)]
@@ -187,22 +191,25 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
         "nodes",
     )
     bands = F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "bucket")
-    spread = nodes.select("node", *SKETCH, bands)
+    # Nodes alone go through the buckets; sketches meet the distinct pairs, once for each end.
+    spread = nodes.select("node", bands)
     crowded = spread.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(spread.join(crowded, ["band", "bucket"]), "bucket-members")
+    members = asides.write(spread.join(crowded, ["band", "bucket"]), "bucket-members")
     support = members.groupBy("node").agg(F.sum("n").alias("support"))
-    hub = F.max(F.struct("support", "node", *SKETCH)).alias("hub")
-    hubs = written(members.join(support, "node").groupBy("band", "bucket").agg(hub), "bucket-hubs").select(
-        "band", "bucket", F.col("hub.node").alias("h_node"), *[F.col(f"hub.{c}").alias(f"h_{c}") for c in SKETCH]
+    hub = F.max(F.struct("support", "node")).alias("hub")
+    hubs = asides.write(members.join(support, "node").groupBy("band", "bucket").agg(hub), "bucket-hubs").select(
+        "band", "bucket", F.col("hub.node").alias("h_node")
     )
-    to_hub = written(
+    to_hub = (
         members.join(hubs, ["band", "bucket"])
-        .where((F.col("node") != F.col("h_node")) & (_apart("", "h_") <= limit))
+        .where(F.col("node") != F.col("h_node"))
         .select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b"))
-        .distinct(),
-        "hub-pairs",
+        .distinct()
     )
-    links = written(_linked(to_hub, docs, percent).unionByName(_of_one_id(named, nodes)), "hub-links")
+    for end in ("a", "b"):
+        to_hub = to_hub.join(nodes.select(F.col("node").alias(end), *[F.col(c).alias(end + c) for c in SKETCH]), end)
+    to_hub = asides.write(to_hub.where(_apart("a", "b") <= limit).select("a", "b"), "hub-pairs")
+    links = asides.write(_linked(to_hub, docs, percent).unionByName(_of_one_id(named, nodes)), "hub-links")
     first = components(links)
     label = first.withColumnRenamed("component", "label")
     # Members that no link joins to their hub's component, against all others of the bucket.
@@ -215,8 +222,9 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     mixed = placed.groupBy("band", "bucket").agg(F.bool_or(F.col("label") != F.col("h_label")).alias("is_mixed"))
     # In a bucket of two components one end of any pair is apart from the hub's, so a pair meets
     # in the first bucket it shares, or has met its hub there.
-    places = nodes.select("node", "n_shingles", *BAND_COLUMNS)
-    placed = written(placed.join(mixed.where("is_mixed"), ["band", "bucket"]).join(places, "node"), "mixed-buckets")
+    places = nodes.select("node", "n_shingles", *SKETCH, *BAND_COLUMNS)
+    placed = asides.write(placed.join(mixed.where("is_mixed"), ["band", "bucket"]).join(places, "node"), "mixed-buckets")
+    asides.drop("bucket-members", "bucket-hubs")
     minor = placed.where(F.col("label") != F.col("h_label")).select(
         "band", "bucket", *[F.col(c).alias(f"m_{c}") for c in ("node", "label", "n_shingles", *SKETCH, *BAND_COLUMNS)]
     )
@@ -228,10 +236,11 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
         .where(100 * F.least("n_shingles", "m_n_shingles") >= percent * F.greatest("n_shingles", "m_n_shingles"))
         .select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b"))
     )
-    rest = written(rest.join(to_hub, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = asides.write(rest.join(to_hub, ["a", "b"], "left_anti"), "rest-pairs")
+    asides.drop("hub-pairs", "mixed-buckets")
     if not rest.isEmpty():
-        more = written(_linked(rest, docs, percent), "rest-links")
-        first = components(links.unionByName(more))
+        first = components(links.unionByName(_linked(rest, docs, percent)))
+    asides.drop("hub-links", "rest-pairs")
     found = nodes.join(first, "node", "left").select("d0", "d1", F.coalesce("component", "node")["id"].alias("component_id"))
     whole = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "d0", "d1").join(found, ["d0", "d1"], "left")
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -246,6 +255,6 @@ def deduplicated(docs: DataFrame, percent: int) -> DataFrame:
     """The documents that are the smallest id of their component, in all their rows; rows
     without an id can't be told apart and all stay."""
     fate = groups(docs, percent)
-    kept = fate.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"].cast("long") == F.col("kept_id"), "left_semi")
+    kept = fate.where("kept").select("doc_id").distinct().alias("kept")
+    named = docs.alias("all").join(kept, F.col("all.doc_id").cast("long") == F.col("kept.doc_id"), "left_semi")
     return named.unionByName(docs.where(F.col("doc_id").isNull()))

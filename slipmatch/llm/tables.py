@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from slipmatch.sources.shared import remove, write_aside
+
 # Rows of a batch are worked on in runs of about this many bytes, at least one row each.
 RUN_BYTES = 1 << 20
 
@@ -23,6 +25,22 @@ def to_utf8(column: str):
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+class Asides:
+    """Tables written aside by name, and removed as soon as nothing needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        table = write_aside(df, name)
+        self.paths[name] = table.path
+        return table.read(self.spark)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove(self.spark, self.paths.pop(name))
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int):
     """Arrow batches of so many rows at most for the jobs run inside, so that whole texts take less memory."""
