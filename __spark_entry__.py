@@ -21,6 +21,7 @@ from slipmatch.functions.dates import sale_day, to_ymd  # noqa: E402
 from slipmatch.functions.text import contains, without_semicolons  # noqa: E402
 from slipmatch.operators import rules  # noqa: E402
 from slipmatch.operators.events import extra_events  # noqa: E402
+from slipmatch.operators.grams import index_of  # noqa: E402
 from slipmatch.operators.export import write_named_report  # noqa: E402
 from slipmatch.operators.tickets import item_values, ticket_details, ticket_summary  # noqa: E402
 from slipmatch.operators.totals import both_totals, cancelled_totals, sold_totals  # noqa: E402
@@ -218,7 +219,7 @@ def flag_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = retail.load(spark, sf_dir)
-    checks = rules.event_checks(plan.open_tickets(_summary(t)), _events(t), _items(t))
+    checks = rules.event_checks(plan.open_tickets(_summary(t)), _events(t), _items(t), index=index_of(t.event_types))
     return shown(
         checks.select(
             *rules.EVENT_KEY,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slipmatch.functions.dates import sale_day
 from slipmatch.functions.money import cents, or_zero
 from slipmatch.functions.text import contains, is_pattern
+from slipmatch.operators.grams import RareGrams, candidates
 from slipmatch.operators.totals import CANCELLED_TOTAL, SOLD, SOME_CANCELLED, has_mark, known_amounts
 
 # Patterns searched in item descriptions.
@@ -101,14 +102,15 @@ def _looked_up(tickets: DataFrame, amounts: DataFrame, amount: Column) -> DataFr
 
 
 def event_checks(
-    tickets: DataFrame, events: DataFrame, items: DataFrame, regex: bool = False
+    tickets: DataFrame, events: DataFrame, items: DataFrame, regex: bool = False, index: RareGrams | None = None
 ) -> DataFrame:
     """Each sales-side event of each ticket group with the first item that mentions it.
 
     Descriptions are searched only within the ticket's own group: an equi-join on the
-    group's keys with the search as residual condition. It is an inner join, which adaptive
-    execution may split on either side when one group holds a large share of the items;
-    events without a match come back by the union.
+    group's keys, and with an ``index`` of their descriptions on a rare q-gram too, with the
+    search as residual condition. It is an inner join, which adaptive execution may split on
+    either side when one group holds a large share of the items; events without a match come
+    back by the union. Patterns have no q-grams, so they are searched in all items.
     """
     # What is searched; NULL for a malformed pattern, settled before any join could meet it.
     text = F.col("description")
@@ -121,7 +123,11 @@ def event_checks(
     )
     item = F.struct("transaction_description", _first_value().alias("value"))
     mentioned = contains(F.col("transaction_description"), F.col("searched"), regex)
-    found = items.join(due, ITEM_KEY).where(mentioned).select(*EVENT_KEY, *EVENT, item.alias("item"))
+    if index is None or regex:
+        pairs = items.join(due, ITEM_KEY)
+    else:
+        pairs = candidates(items, "transaction_description", ITEM_KEY, due, index)
+    found = pairs.where(mentioned).select(*EVENT_KEY, *EVENT, item.alias("item"))
     return (
         due.unionByName(found, allowMissingColumns=True)
         .groupBy(*EVENT_KEY, *EVENT)

@@ -147,6 +147,24 @@ def test_hot_group_is_split(spark):
     assert rows["001", "MULTA"]["value"] == 5 and rows["002", "MULTA"]["transaction_description"] == "TX MULTA"
 
 
+@pytest.mark.parametrize("many", [300, 1200])
+def test_compared_pairs_grow_in_proportion(spark, many):
+    """An agency-day with as many events as items: few more pairs are compared than match."""
+    from slipmatch.operators.grams import Q, RareGrams, candidates, rare_grams
+
+    keys = spark.range(many).select(F.lit("k").alias("key"), F.format_string("%07d", F.col("id") * 37).alias("no"))
+    texts = keys.select("key", F.concat(F.lit("TX TAXA "), "no", F.lit(" X")).alias("text"))
+    due = keys.select("key", F.concat(F.lit("TAXA "), "no").alias("searched"))
+    short = spark.createDataFrame([("k", "X"), ("k", ""), ("k", None), ("other", "TX")], "key string, searched string")
+    due = due.unionByName(short)
+    index = RareGrams(rare_grams(due), True)
+    pairs = candidates(texts, "text", ["key"], due, index)
+    wanted = F.contains("text", "searched")
+    assert all(len(r["gram"]) == Q for r in index.table.where("gram IS NOT NULL").collect())
+    assert sorted(pairs.where(wanted).collect()) == sorted(texts.join(due, "key").where(wanted).select(*pairs.columns).collect())
+    assert many <= pairs.where(F.length("searched") >= Q).count() <= 8 * many
+
+
 @pytest.fixture(scope="module")
 def hot_folder(spark, tmp_path_factory):
     """Test tables in which one agency-day holds a third of all orders."""
