@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slipmatch.llm.components import components
-from slipmatch.llm.tables import Asides, runs
+from slipmatch.llm.tables import Asides, batch_rows, runs
 from slipmatch.llm.words import U, mix, powers, shingles, words
 from slipmatch.sources.shared import written
 
+# Rows of an Arrow batch.
+BATCH_ROWS = 1000
 WORDS = 5
 BANDS, ROWS = 25, 5
 SAMPLES = 512
@@ -179,6 +181,11 @@ def groups(docs: DataFrame, percent: int) -> DataFrame:
     a row without an id stands for nothing, so its component is its links' smallest id, or
     null. Further columns are left out.
     """
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _groups(docs, percent)
+
+
+def _groups(docs: DataFrame, percent: int) -> DataFrame:
     asides = Asides(docs.sparkSession)
     signed = written(signatures(docs), "signatures")
     limit = sketch_limit(percent)
