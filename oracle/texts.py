@@ -31,14 +31,18 @@ WITH agency AS (
          sum(others) AS others_total, sum(insurance) AS insurance_total,
          CAST(sum(price + boarding + toll + coalesce(others, 0) + insurance) AS DECIMAL(18,2)) AS total
   FROM sale JOIN customer ON point = c_custkey
-  WHERE active = 1 AND type < 7 AND status IS NOT NULL
+  JOIN (SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS type FROM lineitem WHERE l_linenumber < 7
+        UNION ALL SELECT DISTINCT 5 FROM lineitem WHERE l_linenumber = 5) AS types USING (type)
+  WHERE active = 1 AND status IS NOT NULL
   GROUP BY ALL
-), shift AS (
+), account AS (
   SELECT DISTINCT o_orderkey % 2 AS company, o_custkey AS point, left(o_orderpriority, 1) AS turn,
          usr, o_orderdate AS moment
   FROM orders, (VALUES (0), (1), (2)) AS u(usr)
+), shift AS (
+  SELECT * FROM account UNION ALL SELECT * FROM account WHERE turn = '4' AND usr = 1
 ), extra AS (
-  SELECT *, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS id FROM lineitem WHERE l_discount >= 0.08
+  SELECT *, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS id FROM lineitem
 ), paid AS MATERIALIZED (
   SELECT o_custkey AS point, o_orderdate AS moment, left(o_orderpriority, 1) AS turn, ev.l_suppkey % 3 AS usr,
          p_partkey % 2 AS company, p_type,
