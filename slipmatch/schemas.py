@@ -41,6 +41,9 @@ SALES = {
     ),
 }
 
+# Day of the sale, where stored sales are partitioned by it.
+SALE_DAY = "dia_venda"
+
 # Names of the result tables and of their columns.
 VALID_TABLE = "valid_tickets"
 INCONGRUENT_TABLE = "incongruent_tickets"

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slipmatch.schemas import ACCOUNTING, SALES
+from slipmatch.schemas import ACCOUNTING, SALE_DAY, SALES
 from slipmatch.sources import jdbc
 from slipmatch.sources.shared import written
 
@@ -43,12 +43,16 @@ class Tables:
     shift_accounts: DataFrame
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, folder: str) -> Tables:
+    def from_parquet(cls, spark: SparkSession, folder: str, sales_by_day: bool = False) -> Tables:
         """Tables stored as ``<folder>/<table>``, with declared schemas.
 
-        Items partitioned by ticket number, and sales by day, let a daily run skip the rest.
+        Items partitioned by ticket number let a run skip those of other tickets. Sales
+        partitioned by ``SALE_DAY``, the date of the sale (``sales_by_day``), let it skip the
+        days that no ticket is about, whether or not the run is given dates.
         """
         layouts = {**ACCOUNTING, **SALES}
+        if sales_by_day:
+            layouts["caja"] += f", {SALE_DAY} date"
         return cls(
             **{
                 field: spark.read.schema(layouts[table]).parquet(f"{folder}/{table}")

@@ -9,6 +9,7 @@ from bench_of_slips import DAY, plain
 
 import __spark_entry__ as contract
 from slipmatch.plans.reconcile import reconcile_tables
+from slipmatch.schemas import SALE_DAY
 from slipmatch.sources import retail
 from slipmatch.sources.tables import FIELDS, Tables
 
@@ -113,6 +114,29 @@ def test_daily_run_prunes_items_by_ticket_number(spark, stored):
     assert [r["verdict"] for r in frame.collect()] == ["incongruent"]
 
 
+def test_sales_of_days_without_tickets_are_not_read(spark, tmp_path):
+    """Few tickets against many days of sales, and no dates given."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    slips = plain().ticket(100).ticket(0, emission="20250509").item("POS", 1)
+    for day in range(1, 28):
+        slips.sale(7, at=dt.datetime(2025, 4, day, 9))
+    tables = slips.tables(spark)
+    for table, field in FIELDS.items():
+        rows = getattr(tables, field)
+        if table == "caja":
+            rows.withColumn(SALE_DAY, F.to_date("fechorventa")).write.partitionBy(SALE_DAY).parquet(f"{tmp_path}/{table}")
+        else:
+            rows.write.parquet(f"{tmp_path}/{table}")
+    frame = reconcile_tables(Tables.from_parquet(spark, str(tmp_path), sales_by_day=True))
+    assert f"dynamicpruningexpression({SALE_DAY}" in formatted_plan_of(frame)
+    text = final_plan_of(frame)
+    assert scans(text, "preciopagado") == 1 and scans(text, "G6X_AGENCI") == 1
+    assert sorted(frame.collect()) == sorted(reconcile_tables(tables).collect())
+
+
 def test_unused_columns_are_not_read(spark):
     text = plan_of(contract.flag_items(spark, FOLDER))
     assert scans(text, "G6X_VLRREI") == 0 and scans(text, "GZG_TIPO") == 0
