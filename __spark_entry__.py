@@ -74,10 +74,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "first_item": first_item,
         "flag_items": flag_items,
         "event_match": event_match,
+        "event_pattern": event_pattern,
         "reconcile_empty": reconcile_empty,
         "reconcile_reasons": reconcile_reasons,
         "reconcile_verdict": reconcile_verdict,
         "reconcile_rejects": reconcile_rejects,
+        "reconcile_none": reconcile_none,
         "export_valid": export_valid,
         "export_incongruent": export_incongruent,
         "upsert_create": upsert_create,
@@ -219,7 +221,19 @@ def flag_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = retail.load(spark, sf_dir)
-    checks = rules.event_checks(plan.open_tickets(_summary(t)), _events(t), _items(t), index=index_of(t.event_types))
+    return _checked(
+        rules.event_checks(plan.open_tickets(_summary(t)), _events(t), _items(t), index=index_of(t.event_types))
+    )
+
+
+def event_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions searched as patterns: the word in the middle may be any."""
+    t = retail.load(spark, sf_dir)
+    events = _events(t).withColumn("description", F.regexp_replace("description", r" \S+ ", " .* "))
+    return _checked(rules.event_checks(plan.open_tickets(_summary(t)), events, _items(t), regex=True))
+
+
+def _checked(checks: DataFrame) -> DataFrame:
     return shown(
         checks.select(
             *rules.EVENT_KEY,
@@ -256,6 +270,14 @@ def reconcile_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reconcile_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of a day on which no ticket was sent, though the day before had sales."""
+    emitted = F.col("G6X_DTREME") != F.date_format(F.lit(EXPORT_RUN), "yyyyMMdd")
+    t = retail.load(spark, sf_dir)
+    quiet = Tables(**{**vars(t), "tickets": t.tickets.where(emitted)})
+    return shown(plan.reconcile_tables(quiet, EXPORT_RUN, EXPORT_RUN))
+
+
 def reconcile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets that cannot be judged, out of source tables with losses."""
     t = retail.load(spark, sf_dir)

@@ -284,6 +284,16 @@ SELECT agency_name, CAST(sale_date AS VARCHAR) AS sale_date, company AS associat
 FROM tot WHERE {which}
 """
 
+# Descriptions as patterns: the word in the middle may be any, so several events may share one.
+PATTERNS = (
+    BASE.replace(
+        "o.company, ext.description, ext.nature",
+        r"o.company, ext.description AS bill, regexp_replace(ext.description, ' \S+ ', ' .* ') AS description, ext.nature",
+    )
+    .replace("due.company, due.description,", "due.company, due.bill,")
+    .replace("contains(detail.text, due.description)", "regexp_matches(detail.text, due.description)")
+)
+
 RESULT = """
 SELECT agency_name AS nome_agencia, code AS cod_agencia_protheus, number AS num_ficha_protheus,
        {message} AS {column}{more}
@@ -381,6 +391,19 @@ SELECT agency_name, emission, code AS agency_code, company AS associated_company
        event_company, CAST(total AS DOUBLE) AS total, item_text AS found_description,
        CAST(item_value AS DOUBLE) AS found_value, message
 FROM checked
+""",
+    "event_pattern": PATTERNS
+    + """
+SELECT agency_name, emission, code AS agency_code, company AS associated_company, description, nature,
+       event_company, CAST(total AS DOUBLE) AS total, item_text AS found_description,
+       CAST(item_value AS DOUBLE) AS found_value, message
+FROM (SELECT * EXCLUDE (bill) FROM checked)
+""",
+    "reconcile_none": BASE
+    + """
+SELECT agency_name, code AS agency_code, company AS associated_company, number AS ticket_number, emission,
+       CAST(receipt AS DOUBLE) AS receipt, 'none' AS verdict, 'none' AS message
+FROM ticket WHERE emission = '19980316' AND emission <> '19980316'
 """,
     "reconcile_empty": BASE
     + RESULT.format(message="message", column="observacao", more="", verdict="valid")
