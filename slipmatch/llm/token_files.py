@@ -246,12 +246,14 @@ class Dictionary(NamedTuple):
 
 
 def trained(docs: DataFrame, tokenizer: str) -> Dictionary:
-    """A dictionary from the first ids of the SAMPLE_DOCS documents of smallest hash.
+    """A dictionary from the first ids of about SAMPLE_DOCS documents chosen by hash, twice as many at most.
 
-    The sample only decides how well the files compress; all documents are encoded whole.
+    The sample only decides how well the files compress; all documents are encoded whole. A
+    task sends its own few, however many tasks there are.
     """
-    sample = docs.select("text", F.xxhash64("doc_id", "text").alias("seeded")).where("text <> ''")
-    sample = sample.orderBy("seeded").limit(SAMPLE_DOCS).select("text").coalesce(1)
+    every = max(1, docs.count() // SAMPLE_DOCS)
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0
+    sample = docs.where(chosen & (F.col("text") != "")).select("text").limit(2 * SAMPLE_DOCS)
 
     def serialized(batches):
         own = encoder(tokenizer)
