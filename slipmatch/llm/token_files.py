@@ -31,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slipmatch.llm.tables import runs, to_utf8
+from slipmatch.llm.tables import batch_rows, runs, to_utf8
 from slipmatch.llm.words import BYTES, prefix_sums, stretch_hashes
 from slipmatch.sources.shared import remove, write_aside
 
@@ -45,7 +45,9 @@ DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 << 10, 1000, 2048
 # Fewer samples than this train no dictionary; frames then have none.
 LEAST_SAMPLES = 16
 # Pieces whose ids a worker remembers, about 25 bytes each; the memory is emptied when full.
-MEMO_PIECES = 4_000_000
+MEMO_PIECES = 2_000_000
+# Rows of an Arrow batch.
+BATCH_ROWS = 1000
 YIELD_BYTES = 4 << 20
 # Letters below this code point are letters in every Unicode version.
 OLD_LETTERS = 0x250
@@ -453,5 +455,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def stored(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFrame:
     """Writes the documents' ids below ``folder`` and gives what the files hold."""
     files = TokenFiles(docs.sparkSession, folder)
-    files.write(docs, tokenizer, end_id)
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        files.write(docs, tokenizer, end_id)
     return files.read()
