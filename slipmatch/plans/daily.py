@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from slipmatch.functions.dates import as_date
 from slipmatch.operators import events, export, tickets, totals
+from slipmatch.operators.grams import index_of
 from slipmatch.plans.reconcile import incongruent_tickets, reconcile_tables, rejected_tickets, valid_tickets
 from slipmatch.plans.store import ResultStore
 from slipmatch.schemas import INCONGRUENT_TABLE, VALID_TABLE
@@ -58,7 +59,9 @@ class ClosingDay:
         tickets. The verdicts are written once and read from there by all three.
         """
         day = as_date(day)
-        aside = write_aside(reconcile_tables(self.tables, day, day), "verdicts")
+        index = index_of(self.tables.event_types)
+        aside = write_aside(reconcile_tables(self.tables, day, day, index=index), "verdicts")
+        remove(self.store.spark, index.path)
         verdicts = aside.read(self.store.spark)
         outcome = {
             VALID_TABLE: self.store.upsert(VALID_TABLE, valid_tickets(verdicts), as_of=as_of),
