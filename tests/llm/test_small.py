@@ -293,6 +293,21 @@ def test_html_repeats_of_a_host(make):
     assert found[2].endswith("read more x") and found[5].startswith("read more") and found[7] == own[4]
 
 
+def test_html_suffixes_of_a_host_are_in_order(make):
+    rng = random.Random(5)
+    line = prose(rng, 12)
+    pages = [("h", 1, [prose(rng, 5), line]), ("h", 2, ["Read more", line + " end"]), ("h", 3, ["read MORE"]), ("i", 4, [line])]
+    order = html.suffix_order(make(pages, "host string, page long, blocks array<string>"))
+    assert "rangepartitioning(host" in order._jdf.queryExecution().executedPlan().toString()
+    rows = [tuple(r) for r in order.collect()]
+    assert [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+    wanted = [(host, suffix, page, starts) for host, page, parts in pages for suffix, starts in html.suffixes(parts).items()]
+    assert sorted(rows) == sorted(wanted)
+    found = sorted(html.shared(rows))
+    lines = [(1, [5 + k], html.LONG) for k in range(5)] + [(2, [2 + k], html.LONG) for k in range(5)]
+    assert found == sorted(lines + [(2, [0], 2), (3, [0], 2)])
+
+
 def test_html_of_many_open_elements():
     items = "".join(f"<li>i{k}" for k in range(500))
     bold = "".join(f"<b>w{k} " for k in range(500))
