@@ -41,6 +41,21 @@ def test_events_are_summed_by_name_only(spark):
     assert sum(r["total"] for r in found.collect()) == 10
 
 
+def test_events_without_a_shift_account_do_not_travel_to_payments(spark):
+    t = plain().event("MULTA", 2).event("AVISO", 3, shifts=2).event("TAXA", 4, point=2, shifts=None).tables(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = extra_events(
+            t.cash_events, t.event_kinds, t.event_types, t.payments, t.shift_accounts, t.sale_points
+        )
+        keys = exchanges(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Plans are printed from the result down.
+    assert keys.index("cajadiversos_id") < keys.index("empresa_id, puntoventa_id, turno_id, usuario_id, feccorte")
+    assert sorted((r["description"], r["total"]) for r in found.collect()) == [("AVISO", 3), ("MULTA", 2)]
+
+
 def test_users_of_a_shift_are_made_after_its_shuffle(spark):
     orders = retail.read(spark, FOLDER, "orders")
     found = retail._shift_accounts(orders.unionByName(orders))
