@@ -6,15 +6,18 @@ import datetime as dt
 
 import pytest
 from bench_of_slips import DAY, plain
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from slipmatch import session
+from slipmatch.operators import rules
 from slipmatch.operators.events import extra_events
 from slipmatch.plans.reconcile import reconcile_tables
 from slipmatch.sources import retail
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SCANNED = "spark.sql.files.maxPartitionBytes"
 
 
 @pytest.fixture
@@ -71,6 +74,32 @@ def test_partitions_grow_with_the_input(spark):
     finally:
         spark.conf.unset(INITIAL)
         spark.conf.unset(ADVISED)
+        spark.conf.unset(SCANNED)
+
+
+def test_what_a_task_reads_does_not_grow_with_the_input(spark, tmp_path):
+    """Tens of MB of items, which no core count would divide, in several scans and merged partitions."""
+    parallel = ["spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.parallelismFirst"]
+    spark.range(0, 400_000, 1, 16).select(
+        F.lit("20250506").alias("emission"),
+        F.col("id").cast("string").alias("agency_code"),
+        F.lit("1").alias("associated_company"),
+        F.concat(F.lit("BILHETE CANCELADO "), F.sha2(F.col("id").cast("string"), 512)).alias("transaction_description"),
+        F.lit(1).cast("decimal(12,2)").alias("lowest"),
+        F.lit(False).alias("lacks_value"),
+    ).write.parquet(f"{tmp_path}/items")
+    try:
+        session.sized(spark, session.PARTITION_BYTES * 100)
+        for key, value in zip(parallel, ("1", "false")):
+            spark.conf.set(key, value)
+        items = spark.read.parquet(f"{tmp_path}/items")
+        assert items.rdd.getNumPartitions() >= 4
+        firsts = rules.first_items(items)
+        assert firsts.rdd.getNumPartitions() >= 6
+        assert firsts.where("cancelled_item.value = 1").count() == 400_000
+    finally:
+        for key in (INITIAL, ADVISED, SCANNED, *parallel):
+            spark.conf.unset(key)
 
 
 def test_an_index_that_is_given_is_used(spark):
