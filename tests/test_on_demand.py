@@ -102,6 +102,36 @@ def test_what_a_task_reads_does_not_grow_with_the_input(spark, tmp_path):
             spark.conf.unset(key)
 
 
+def test_many_rows_of_a_small_file_are_not_broadcast(spark, tmp_path):
+    """Rows in order take a few bytes each in files, many times that in the driver."""
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    kept = [spark.conf.get(key, None) for key in limits]
+    master = spark.range(0, 1_000_000, 1, 2).select("id", F.format_string("%010d", "id").alias("code"), F.lit("1").alias("company"))
+    master.write.parquet(f"{tmp_path}/master", compression="zstd")
+    master.limit(20).write.parquet(f"{tmp_path}/few")
+    facts, master, few = spark.range(3_000_000), spark.read.parquet(f"{tmp_path}/master"), spark.read.parquet(f"{tmp_path}/few")
+    plan = lambda side: facts.join(side, "id")._jdf.queryExecution().executedPlan().toString()
+    try:
+        for key in limits:
+            spark.conf.unset(key)
+        assert "BroadcastHashJoin" in plan(master)
+        session.sized(spark, session.BROADCAST_FREELY)
+        assert "BroadcastHashJoin" in plan(master)
+        session.sized(spark, session.BROADCAST_FREELY + 1)
+        assert "BroadcastHashJoin" not in plan(master) and "BroadcastHashJoin" in plan(few)
+        # What is known to be small still is broadcast, by the limit that held before.
+        some = facts.join(master.where("id < 50000"), "id")
+        assert some.count() == 50_000
+        assert spark.conf.get(limits[1]) == str(10 << 20)
+        for key in limits:
+            spark.conf.set(key, "-1")
+        session.sized(spark, session.BROADCAST_FREELY + 1)
+        assert [spark.conf.get(key) for key in limits] == ["-1", "-1"]
+    finally:
+        for key, value in zip(limits, kept):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_an_index_that_is_given_is_used(spark):
     from slipmatch.operators.grams import index_of
 
