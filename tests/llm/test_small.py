@@ -293,6 +293,28 @@ def test_html_repeats_of_a_host(make):
     assert found[2].endswith("read more x") and found[5].startswith("read more") and found[7] == own[4]
 
 
+def test_html_all_pages_are_in_the_order(make, monkeypatch):
+    """Pages that name their article too: it vouches for its text, what stands outside is evidence."""
+    rng = random.Random(8)
+    bar, shared, twice = prose(rng, 9), prose(rng, 12), prose(rng, 10)
+    own = [prose(rng, 20) for _ in range(6)]
+    rows = [(0, "x://h/0", f"<p>{bar}</p><article><p>{own[0]}<p>{shared}</article><nav>menu</nav>"),
+            (1, "x://h/1", f"<p>{bar}<p>{own[1]}"), (2, "x://h/2", f"<p>{own[2]}<p>{shared}<p>{twice}"),
+            (3, "x://h/3", f"<p>{shared}<p>{own[3]}<p>{twice}"), (4, "x://i/0", f"<p>{own[4]}<p>{shared}"),
+            (5, "x://i/1", f"<article>{own[5]}</article>"), (6, "x://i/2", f"<article>{own[5]}</article>"), (7, None, f"<article>{bar}</article>")]
+    order, seen = html.suffix_order, []
+    monkeypatch.setattr(html, "suffix_order", lambda pages: seen.append(pages) or order(pages))
+    told = html.main_text(make(rows, "page_id long, url string, html string")).collect()
+    found = {r["page_id"]: r["text"] for r in told}
+    assert {r["page_id"]: r["n_repeated"] for r in told if r["n_repeated"]} == {0: 12, 2: 12, 3: 12}
+    assert found == {0: f"{own[0]} {shared}", 1: own[1], 2: f"{own[2]} {shared}", 3: f"{shared} {own[3]}",
+                     4: f"{own[4]} {shared}", 5: own[5], 6: own[5], 7: bar}
+    texts = sorted((r["host"], " ".join(r["blocks"]), r["page"] < 0) for r in seen[0].collect())
+    assert texts == sorted([("h", bar, False), ("h", f"{own[0]} {shared}", True), ("h", f"{bar} {own[1]}", False),
+                            ("h", f"{own[2]} {shared} {twice}", False), ("h", f"{shared} {own[3]} {twice}", False),
+                            ("i", f"{own[4]} {shared}", False), ("i", own[5], True), ("i", own[5], True)])
+
+
 def test_html_suffixes_of_a_host_are_in_order(make):
     rng = random.Random(5)
     line = prose(rng, 12)
